@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-# Score ranges used to spread the ranking of one group over tasks.
-SCORE_RANGES = 128
+# Ranges of scores, 2 to this power, used to spread a ranking over tasks.
+RANGE_BITS = 12
 
 
 def _share(condition: Column) -> Column:
@@ -61,24 +61,23 @@ def roc_auc(df: DataFrame, by: Sequence[str] = (), label: str = "label",
     """Exact area under the ROC curve: the share of (positive, negative) pairs ranked rightly,
     ties counting half.
 
-    No group is sorted in one task. Equal scores are merged first; the distinct scores of a
-    group are cut into ranges at their approximate quantiles, so the ranges are even however the
-    scores are distributed; a running count inside each range and one over the at most
-    ``SCORE_RANGES`` range totals of a group then give exact ranks. Where the cuts lie has no
-    effect on the result.
+    No group is sorted in one task. Equal scores are merged first; the distinct scores are cut
+    into ranges at their approximate quantiles, so no range of any group holds more than about
+    1/4096 of them however they are distributed; a running count inside each range and one over
+    the range totals of a group then give exact ranks. Where the cuts lie has no effect on the
+    result.
     """
     by = list(by)
     y, score = F.col(label) == 1, F.col(probability)
     distinct = df.where(score.isNotNull()).groupBy(*by, score.alias("_score")).agg(
         F.count_if(y).alias("_pos"), F.count_if(~y).alias("_neg"))
-    marks = [i / SCORE_RANGES for i in range(1, SCORE_RANGES)]
-    cuts = F.percentile_approx("_score", marks, 1000)
-    if by:
-        with_cuts = distinct.join(distinct.groupBy(*by).agg(cuts.alias("_cuts")), by)
-    else:
-        with_cuts = distinct.withColumn("_cuts", distinct.agg(cuts).scalar())
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_score")))
-    ranges = with_cuts.withColumn("_range", below).drop("_cuts")
+    parts = 2 ** RANGE_BITS
+    marks = ", ".join(f"{i / parts}D" for i in range(1, parts))
+    cuts = distinct.agg(F.expr(f"percentile_approx(_score, array({marks}), {4 * parts})")).scalar()
+    ranges = (
+        distinct.withColumn("_cuts", cuts)
+        .withColumn("_range", _cuts_below(F.col("_score"), F.col("_cuts"))).drop("_cuts")
+    )
 
     before = Window.unboundedPreceding, -1
     inside = Window.partitionBy(*by, "_range").orderBy("_score").rowsBetween(*before)
@@ -88,7 +87,7 @@ def roc_auc(df: DataFrame, by: Sequence[str] = (), label: str = "label",
         .groupBy(*by, "_range")
         .agg(F.sum("_right").alias("_right"), F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
     )
-    # At most SCORE_RANGES rows per group from here on.
+    # At most 4096 rows per group from here on.
     across = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_range").rowsBetween(*before)
     lower_ranges = F.coalesce(F.sum("_neg").over(across), F.lit(0))
     return (
@@ -98,6 +97,13 @@ def roc_auc(df: DataFrame, by: Sequence[str] = (), label: str = "label",
     )
 
 
+def _cuts_below(score: Column, cuts: Column) -> Column:
+    """How many of the sorted cuts are below the score, by halving."""
+    steps = F.array(*(F.lit(2 ** bit) for bit in reversed(range(RANGE_BITS))))
+    return F.aggregate(steps, F.lit(0), lambda found, step: F.when(
+        F.get(cuts, found + step - 1) < score, found + step).otherwise(found))
+
+
 def experiment_table(predictions: DataFrame, company: str = "company", model: str = "model") -> DataFrame:
     """One rounded result row per company and model, as in the published result tables."""
     measured = regression_metrics(predictions, [company, model])

@@ -72,13 +72,13 @@ def logistic_per_company(split: DataFrame, features: Sequence[str], label: str =
     """
     scaled = min_max(split, features, F.col("is_train"), by=["company"])
     narrow = scaled.select("company", "dt", "is_train", F.col(label).cast("int").alias("label"), *features)
-    counts = narrow.groupBy("company").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if("is_train").alias("train_rows"))
-    long = counts.where(F.col("rows") > rows_per_task)
+    long = split.groupBy("company").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("is_train").alias("train_rows")
+    ).where(F.col("rows") > rows_per_task).collect()
     schema = "company STRING, dt DATE, label INT, prob DOUBLE, prediction INT"
-    short = narrow.join(long, "company", "left_anti")
+    short = narrow.where(~F.col("company").isin([row["company"] for row in long])) if long else narrow
     result = short.groupBy("company").applyInPandas(_fit_and_score(features), schema)
-    for row in long.collect():  # few by construction: the rows divided by rows_per_task at most
+    for row in long:
         one = narrow.where(F.col("company") == row["company"])
         result = result.unionByName(_score_long_company(one, features, row["train_rows"]))
     return result

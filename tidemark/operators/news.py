@@ -12,6 +12,9 @@ from tidemark.functions.text import runs_of_words, words
 # Names are looked up in pieces of at most this many words.
 PIECE_WORDS = 3
 
+# Name pieces up to this number are broadcast; more of them are joined by a shuffle.
+BROADCAST_PIECES = 200_000
+
 # A small default lexicon; real jobs pass their own table (word, polarity).
 DEFAULT_POLARITY = {
     "best": 1.0, "excellent": 1.0, "great": 0.8, "good": 0.7, "strong": 0.4, "profit": 0.5,
@@ -72,8 +75,11 @@ def match_names(articles: DataFrame, companies: DataFrame, text: str = "text", l
     if lang is not None:
         articles = articles.where(F.col("lang") == lang)
     pieces = _name_pieces(companies, ticker, name)
+    sizes = {row["_width"]: row["count"] for row in pieces.groupBy("_width").count().collect()}
+    if sum(sizes.values()) <= BROADCAST_PIECES:
+        pieces = F.broadcast(pieces)
     tokens = articles.select(*keep, words(F.col(text)).alias("_tokens"))
-    runs = F.concat(*(_placed_runs(n) for n in range(1, PIECE_WORDS + 1)))
+    runs = F.concat(*(_placed_runs(n) for n in sorted(sizes) or [PIECE_WORDS]))
     placed = tokens.select(*keep, F.explode(runs).alias("_run"))
     found = placed.select(*keep, F.col("_run.piece").alias("piece"), F.col("_run.place").alias("_place"))
     lined_up = (
@@ -101,7 +107,7 @@ def _name_pieces(companies: DataFrame, ticker: str, name: str) -> DataFrame:
                      F.size(offsets).alias("_pieces"), width.alias("_width"),
                      F.explode(offsets).alias("_offset"))
         .withColumn("piece", F.array_join(F.slice("_name", F.col("_offset") + 1, F.col("_width")), " "))
-        .select(ticker, "_phrase", "_pieces", "_offset", "piece").distinct()
+        .select(ticker, "_phrase", "_pieces", "_width", "_offset", "piece").distinct()
     )
 
 

@@ -6,17 +6,15 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.plans.series import with_key_facts
 
-def recent_days(df: DataFrame, days: int, key: str = "company", order: str = "dt") -> DataFrame:
-    """Rows within ``days`` days of the newest row of the same key, both ends included.
 
-    The newest day per key is combined before its shuffle and joined back, so a key with very
-    many rows is not gathered in one task; adaptive execution broadcasts the day table when it
-    is small and splits skewed join partitions when it is not.
-    """
-    newest = df.groupBy(key).agg(F.max(order).alias("_newest"))
+def recent_days(df: DataFrame, days: int, key: str = "company", order: str = "dt") -> DataFrame:
+    """Rows within ``days`` days of the newest row of the same key, both ends included."""
+    newest = with_key_facts(
+        df, [key], order, [F.max(order).alias("_top")], {"_newest": lambda w: F.max("_top").over(w)})
     cutoff = F.col("_newest") - F.expr(f"INTERVAL '{int(days)}' DAY")
-    return df.join(newest, key).where(F.col(order) >= cutoff).drop("_newest")
+    return newest.where(F.col(order) >= cutoff).drop("_newest")
 
 
 def recent_years(df: DataFrame, years: int, key: str = "company", order: str = "dt") -> DataFrame:

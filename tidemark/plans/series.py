@@ -85,9 +85,7 @@ def arrange(df: DataFrame, keys: str | Sequence[str] = "company", order: str = "
     if long_keys.isEmpty():
         return Series(df, keys, order, cut=False)
 
-    is_date = isinstance(df.schema[order].dataType, T.DateType)
-    width = slice_minutes or (32 * 1440 if is_date else 1440)
-    sliced = df.withColumn(_SLICE, F.floor(_minutes(df, order) / width))
+    sliced = df.withColumn(_SLICE, time_slice(df, order, slice_minutes))
     spark = df.sparkSession
     path = scratch_folder(spark, "slices")
     _slice_table(sliced, keys, before, after, segment_rows).write.parquet(path)
@@ -104,6 +102,29 @@ def arrange(df: DataFrame, keys: str | Sequence[str] = "company", order: str = "
     return Series(rows, keys, order, cut=True)
 
 
+def time_slice(df: DataFrame, order: str, slice_minutes: int | None = None) -> Column:
+    """Number of the time slice a row falls into: 32 days for dates, one day for timestamps."""
+    is_date = isinstance(df.schema[order].dataType, T.DateType)
+    return F.floor(_minutes(df, order) / (slice_minutes or (32 * 1440 if is_date else 1440)))
+
+
+def with_key_facts(df: DataFrame, keys: Sequence[str], order: str, per_slice: Sequence[Column],
+                   per_key: dict[str, Callable[[WindowSpec], Column]]) -> DataFrame:
+    """Adds facts about a row's whole key (such as its newest day) to each row.
+
+    Joining a table of keys to the rows would bring all rows of a long key to one task. Here the
+    facts are aggregated per (key, time slice), combined over the slices of a key on that short
+    table, and joined back by (key, time slice), of which none is large. ``per_slice`` are the
+    aggregates of a slice and ``per_key`` the window expressions that combine them.
+    """
+    keys = list(keys)
+    sliced = df.withColumn(_SLICE, time_slice(df, order))
+    by_key = Window.partitionBy(*keys)
+    slices = sliced.groupBy(*keys, _SLICE).agg(*per_slice)
+    facts = slices.select(*keys, _SLICE, *(combine(by_key).alias(n) for n, combine in per_key.items()))
+    return sliced.join(facts, [*keys, _SLICE]).drop(_SLICE)
+
+
 def _minutes(df: DataFrame, order: str) -> Column:
     """Whole minutes since the epoch, growing with ``order`` in every time zone."""
     kind, value = df.schema[order].dataType, F.col(order)

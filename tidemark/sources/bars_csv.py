@@ -10,6 +10,8 @@ its fields are, and the fields are then taken by name.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.cleaning import to_day, to_number
@@ -18,6 +20,9 @@ from tidemark.functions.cleaning import to_day, to_number
 DATE_NAMES = ("date", "price", "timestamp", "datetime")
 FIELDS = ("open", "high", "low", "close", "volume")
 
+# Files up to this number have their header places broadcast; more are joined by a shuffle.
+BROADCAST_FILES = 50_000
+
 # ``.../SNDK.csv``, ``.../SNDK.csv/part-0.csv`` and ``.../file=SNDK.csv/part-0.csv`` all give SNDK.
 TICKER_IN_PATH = r"([^/=]+)\.csv(?:/[^/]*)?$"
 
@@ -28,39 +33,56 @@ def ticker_from_path(path: Column | None = None) -> Column:
     return F.url_decode(F.regexp_extract(path, TICKER_IN_PATH, 1))
 
 
-def read_bars_csv(spark: SparkSession, folder: str, max_columns: int = 16) -> DataFrame:
-    """All CSV files under ``folder`` as canonical bars; rows without a date or close are dropped."""
+def read_bars_csv(spark: SparkSession, folder: str, columns: Sequence[str] | None = None,
+                  max_columns: int = 16) -> DataFrame:
+    """All CSV files under ``folder`` as canonical bars; rows without a date or close are dropped.
+
+    Finding the header lines costs a second scan. ``columns``, the names in file order, saves it
+    where all files are known to agree.
+    """
     schema = ", ".join(f"c{i} STRING" for i in range(max_columns))
-    lines = (
+    raw = (
         spark.read.schema(schema).option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv").csv(folder)
-        .select(F.array(*(f"c{i}" for i in range(max_columns))).alias("cells"),
-                F.col("_metadata.file_path").alias("path"))
     )
-    rows = lines.join(_field_places(lines), "path")
+    lines = raw.select(F.array(*(f"c{i}" for i in range(max_columns))).alias("cells"),
+                       F.col("_metadata.file_path").alias("path"))
+    if columns is None:
+        places = _field_places(lines)
+        # One row per file; the driver holds the list of files anyway, so its length is known.
+        few = len(raw.inputFiles()) <= BROADCAST_FILES
+        rows = lines.join(F.broadcast(places) if few else places, "path")
+    else:
+        names = F.array(*(F.lit(name.strip().lower()) for name in columns))
+        rows = lines.withColumns(_places(names))
 
     def field(name: str) -> Column:
         return F.get("cells", F.col(name) - 1)
 
     return rows.select(
-        # The join key is still the encoded path, so one file is one join key and one ticker.
         ticker_from_path(F.col("path")).alias("company"),
         to_day(field("date")).alias("dt"),
         *(to_number(field(name)).alias(name) for name in FIELDS),
     ).dropna(subset=["dt", "close"])
 
 
+def _places(names: Column) -> dict[str, Column]:
+    """1-based place of each field among lower-case names (0 or NULL where it is missing)."""
+    places = {name: F.array_position(names, name) for name in FIELDS}
+    places["date"] = F.coalesce(*(
+        F.nullif(F.array_position(names, name), F.lit(0).cast("long")) for name in DATE_NAMES))
+    return places
+
+
 def _field_places(lines: DataFrame) -> DataFrame:
-    """Per file, the 1-based place of each field in its header line (0 where it is missing)."""
+    """The places of the fields in each file's header line."""
     names = F.transform("cells", lambda cell: F.lower(F.trim(cell)))
     known_dates = F.array(*map(F.lit, DATE_NAMES))
     headers = (
         lines.select("path", names.alias("names"))
         .where(F.array_contains("names", "close") & F.arrays_overlap("names", known_dates))
     )
-    places = {name: F.array_position("names", name) for name in FIELDS}
-    places["date"] = F.coalesce(*(F.nullif(F.array_position("names", name), F.lit(0).cast("long"))
-                                  for name in DATE_NAMES))
+    places = _places(F.col("names"))
     return headers.groupBy("path").agg(*(F.max(place).alias(name) for name, place in places.items()))
 
 

@@ -13,6 +13,7 @@ from tidemark.operators import (
 )
 from tidemark.operators.indicator import Indicator, apply_indicators
 from tidemark.plans.features import feature_table, merge_prices_and_sentiment
+from tidemark.plans.staging import stored
 from tidemark.session import scratch_folder
 from tidemark.sources import bars_csv, tables
 from workload import views
@@ -161,9 +162,10 @@ def news_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = views.news(spark, sf_dir)
     time = F.concat(F.col("published_at").cast("string"), F.lit("T09:30:00Z"))
     item = F.struct(F.col("title"), time.alias("publishedAt"), F.col("lang").alias("language"))
-    # A response covers one company and day, so its article list stays short.
-    responses = articles.groupBy(F.col("company").alias("ticker"), "published_at").agg(
-        F.collect_list(item).alias("articles")).drop("published_at")
+    # Article numbers are unique, so a response holds at most 50 articles.
+    block = F.floor(F.col("article_id") / 50).alias("block")
+    responses = articles.groupBy(F.col("company").alias("ticker"), block).agg(
+        F.collect_list(item).alias("articles")).drop("block")
     path = scratch_folder(spark, "responses")
     responses.write.json(path)
     return tables.read_articles(spark, path).select(
@@ -534,13 +536,14 @@ def _training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _bars_with_sentiment(spark, sf_dir)
     chosen = [technical.returns_and_momentum, technical.moving_averages]
     table = apply_indicators(df, chosen).select("company", "dt", *BASE_FEATURES, "sentiment").dropna()
+    table = stored(table)
     return labels.direction_label(windows.recent_years(table, 7))
 
 
 @query
 def logistic_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per company: logistic regression without and with sentiment, judged on the later rows."""
-    split = splits.by_position(_training_rows(spark, sf_dir))
+    split = stored(splits.by_position(_training_rows(spark, sf_dir)))
     results = []
     for name, features in (("Logistic (No Sentiment)", BASE_FEATURES),
                            ("Logistic + Sentiment", (*BASE_FEATURES, "sentiment"))):
@@ -552,23 +555,24 @@ def logistic_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sequence_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returns predicted from the 20 rows before, judged per company."""
-    rows = technical.moving_averages(
-        labels.return_targets(windows.recent_years(views.bars(spark, sf_dir), 3))).dropna()
-    built = labels.sequences(rows, ["Return", "MA_10", "MA_20"], lookback=20)
-    predicted = models.sequence_regressor(splits.by_position(built), max_iter=10)
+    targets = stored(labels.return_targets(windows.recent_years(views.bars(spark, sf_dir), 3)))
+    rows = stored(technical.moving_averages(targets).dropna())
+    built = stored(labels.sequences(rows, ["Return", "MA_10", "MA_20"], lookback=20))
+    predicted = models.sequence_regressor(stored(splits.by_position(built)), max_iter=10)
     return metrics.experiment_table(predicted.withColumn("model", F.lit("Boosted trees")))
 
 
 @query
 def sequence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Next-day direction of all companies from ten standardised steps."""
-    rows = labels.log_return_features(_bars_with_sentiment(spark, sf_dir))
+    rows = stored(labels.log_return_features(_bars_with_sentiment(spark, sf_dir)))
     split = splits.by_date_quantile(rows)
     scaled = scaling.standard(split, POOLED_FEATURES, F.col("is_train"))
     tagged = scaled.withColumn("part", F.when(F.col("is_train"), "train").otherwise("test"))
     built = labels.sequences(tagged, POOLED_FEATURES, "Direction", labels.POOLED_LOOKBACK,
                              keys=["part", "company"])
-    scored = models.sequence_classifier(built.withColumn("is_train", F.col("part") == "train"))
+    built = stored(built.withColumn("is_train", F.col("part") == "train"))
+    scored = stored(models.sequence_classifier(built))
     measured = metrics.classification_metrics(scored)
     return rounded(measured, {"accuracy": 2, "roc_auc": 4, "f1": 4, "mcc": 4})
 
@@ -577,7 +581,7 @@ def sequence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A saved model tells the next-day trend of each company's newest row."""
     chosen = [technical.moving_averages, technical.returns_and_momentum]
-    table = apply_indicators(views.bars(spark, sf_dir), chosen)
+    table = stored(apply_indicators(views.bars(spark, sf_dir), chosen))
     labelled = labels.direction_label(table.dropna(), horizon=1).withColumnRenamed("Target", "label")
     path = scratch_folder(spark, "next_day_model")
     models.train_next_day_model(labelled, path)
