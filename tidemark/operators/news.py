@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.text import runs_of_words, words
+from tidemark.plans.staging import broadcast_if_small
 
 # Names are looked up in pieces of at most this many words.
 PIECE_WORDS = 3
@@ -28,7 +29,8 @@ DEFAULT_POLARITY = {
 
 
 def default_lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(DEFAULT_POLARITY.items()), "word STRING, polarity DOUBLE")
+    rows = ", ".join(f"('{word}', {polarity}D)" for word, polarity in DEFAULT_POLARITY.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(word, polarity)")
 
 
 def score_text(articles: DataFrame, lexicon: DataFrame, text: str = "title",
@@ -37,12 +39,12 @@ def score_text(articles: DataFrame, lexicon: DataFrame, text: str = "title",
     the lexicon words in its whole text, 0.0 if it has none.
 
     The text itself never leaves the task that reads it: its words meet the lexicon there
-    (broadcast when Catalyst finds it small), are averaged there, and one short row per article
-    is shuffled.
+    (broadcast after a check of its size), are averaged there, and one short row per article is
+    shuffled.
     """
     tokens = articles.select(*keep, F.explode_outer(words(F.col(text))).alias("word"))
     return (
-        tokens.join(lexicon, "word", "left")
+        tokens.join(broadcast_if_small(lexicon), "word", "left")
         .groupBy(*keep).agg(F.coalesce(F.avg("polarity"), F.lit(0.0)).alias("sentiment"))
     )
 
@@ -75,11 +77,10 @@ def match_names(articles: DataFrame, companies: DataFrame, text: str = "text", l
     if lang is not None:
         articles = articles.where(F.col("lang") == lang)
     pieces = _name_pieces(companies, ticker, name)
-    sizes = {row["_width"]: row["count"] for row in pieces.groupBy("_width").count().collect()}
-    if sum(sizes.values()) <= BROADCAST_PIECES:
-        pieces = F.broadcast(pieces)
+    widths = sorted(row[0] for row in pieces.select("_width").distinct().collect())
+    pieces = broadcast_if_small(pieces, BROADCAST_PIECES)
     tokens = articles.select(*keep, words(F.col(text)).alias("_tokens"))
-    runs = F.concat(*(_placed_runs(n) for n in sorted(sizes) or [PIECE_WORDS]))
+    runs = F.concat(*(_placed_runs(n) for n in widths or [PIECE_WORDS]))
     placed = tokens.select(*keep, F.explode(runs).alias("_run"))
     found = placed.select(*keep, F.col("_run.piece").alias("piece"), F.col("_run.place").alias("_place"))
     lined_up = (

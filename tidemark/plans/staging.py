@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.session import scratch_folder
 
@@ -17,3 +17,13 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows, and unchanged otherwise.
+
+    For short lookup tables joined to very long ones, where the plan's own size estimate would
+    come too late: adaptive execution measures a side only after both have been shuffled. At
+    most ``rows`` + 1 rows are counted.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
