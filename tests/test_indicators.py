@@ -36,6 +36,17 @@ def test_cut_series_give_the_same_features(bars, panel, segment_rows):
     assert_same(actual, expected_panel(panel), CHECKED)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_series_may_be_ordered_by_a_time(bars, kind):
+    timed = bars.withColumn("dt", (F.col("dt").cast(kind) + F.expr("INTERVAL '13:45' HOUR TO MINUTE")))
+    columns = ["company", "dt", "MA_50", "RSI"]
+    chosen = [i for i in TECHNICAL if {"MA_50", "RSI"} & set(i.outputs)]
+    whole = apply_indicators(timed, chosen).select(columns)
+    cut = apply_indicators(timed, chosen, segment_rows=100).select(columns)
+    assert arrange(timed, before=49, segment_rows=100).cut
+    assert_same(cut.toPandas(), whole.toPandas(), ["MA_50", "RSI"], 1e-12)
+
+
 def test_rows_of_a_cut_series_are_bounded(bars):
     series = arrange(bars, before=60, after=5, segment_rows=200)
     largest = series.rows.groupBy("company", "_segment").count().agg(F.max("count")).first()[0]

@@ -97,6 +97,13 @@ def test_articles(spark, tmp_path):
     rows = tables.read_articles(spark, str(tmp_path)).collect()
     assert sorted((r.ticker, r.title) for r in rows if r.title) == [("A", "Good")]
     assert len(rows) == 3 and sum(r.published_at is None for r in rows) == 2
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        times = {r.published_at for r in tables.read_articles(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert times == {None, dt.datetime(2024, 5, 1, 10, 0)}
 
 
 def test_optional_and_small_tables(spark, tmp_path):
@@ -115,7 +122,7 @@ def test_sinks(spark, tmp_path):
     path = str(tmp_path / "new" / "bars")
     assert not tables.write_table(bars.limit(0), path, skip_empty=True)
     assert tables.write_table(bars, path, ["company"])
-    assert tables.write_table(bars, path, skip_empty=True)
+    assert tables.write_table(bars, path, skip_empty=True, by_range=True)
     assert rows_of(tables.read_table(spark, path, bars.columns)) == rows_of(bars)
     recent = tables.history(tables.read_table(spark, path), "5d", dt.date(2015, 2, 1))
     assert "GreaterThanOrEqual(dt,2015-01-27)" in recent._jdf.queryExecution().executedPlan().toString()

@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def split_words(text: Column) -> Column:
+    """Lower-case words of a text, with an empty one where it starts or ends with other signs."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+
+
 def words(text: Column) -> Column:
     """Lower-case words of a text: runs of letters and digits of any script."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.filter(parts, lambda part: part != "")
+    return F.filter(split_words(text), lambda part: part != "")
+
 
+def placed_runs(tokens: Column, n: int) -> Column:
+    """Every run of ``n`` neighbouring words with the 0-based place of its first word, as structs
+    (piece, place)."""
+    def run(first: Column, at: Column) -> Column:
+        rest = [F.get(tokens, at + i) for i in range(1, n)]
+        return F.struct(F.concat_ws(" ", first, *rest).alias("piece"), at.alias("place"))
 
-def runs_of_words(tokens: Column, n: int) -> Column:
-    """Every run of ``n`` neighbouring words, each joined by one blank."""
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - n + 1))
-    return F.transform(F.coalesce(starts, F.array().cast("array<int>")),
-                       lambda at: F.array_join(F.slice(tokens, at, n), " "))
+    # The last words start no complete run.
+    return F.slice(F.transform(tokens, run), 1, F.greatest(F.size(tokens) - n + 1, F.lit(0)))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.text import runs_of_words, words
+from tidemark.functions.text import placed_runs, split_words, words
 from tidemark.plans.staging import broadcast_if_small
 
 # Names are looked up in pieces of at most this many words.
@@ -42,9 +42,12 @@ def score_text(articles: DataFrame, lexicon: DataFrame, text: str = "title",
     (broadcast after a check of its size), are averaged there, and one short row per article is
     shuffled.
     """
-    tokens = articles.select(*keep, F.explode_outer(words(F.col(text))).alias("word"))
+    # An empty word without polarity keeps articles that have no other word of the lexicon.
+    found = lexicon.select("word", "polarity").union(
+        lexicon.sparkSession.sql("SELECT '' AS word, CAST(NULL AS DOUBLE) AS polarity"))
+    tokens = articles.select(*keep, F.explode(F.concat(split_words(F.col(text)), F.array(F.lit("")))).alias("word"))
     return (
-        tokens.join(broadcast_if_small(lexicon), "word", "left")
+        tokens.join(broadcast_if_small(found), "word")
         .groupBy(*keep).agg(F.coalesce(F.avg("polarity"), F.lit(0.0)).alias("sentiment"))
     )
 
@@ -80,7 +83,7 @@ def match_names(articles: DataFrame, companies: DataFrame, text: str = "text", l
     widths = sorted(row[0] for row in pieces.select("_width").distinct().collect())
     pieces = broadcast_if_small(pieces, BROADCAST_PIECES)
     tokens = articles.select(*keep, words(F.col(text)).alias("_tokens"))
-    runs = F.concat(*(_placed_runs(n) for n in widths or [PIECE_WORDS]))
+    runs = F.concat(*(placed_runs(F.col("_tokens"), n) for n in widths or [PIECE_WORDS]))
     placed = tokens.select(*keep, F.explode(runs).alias("_run"))
     found = placed.select(*keep, F.col("_run.piece").alias("piece"), F.col("_run.place").alias("_place"))
     lined_up = (
@@ -91,12 +94,6 @@ def match_names(articles: DataFrame, companies: DataFrame, text: str = "text", l
     return lined_up.select(ticker, *keep).distinct()
 
 
-def _placed_runs(n: int) -> Column:
-    """All runs of ``n`` words of ``_tokens`` with the 0-based place of their first word."""
-    return F.transform(runs_of_words(F.col("_tokens"), n),
-                       lambda run, at: F.struct(run.alias("piece"), at.alias("place")))
-
-
 def _name_pieces(companies: DataFrame, ticker: str, name: str) -> DataFrame:
     """Each name as pieces of ``PIECE_WORDS`` words that cover it; the last one may overlap."""
     named = companies.select(ticker, words(F.col(name)).alias("_name")).where(F.size("_name") > 0)

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window, WindowSpec
@@ -44,7 +45,7 @@ class Series:
     def _partition(self) -> list[str]:
         return [*self.keys, _SEGMENT] if self.cut else list(self.keys)
 
-    @property
+    @cached_property
     def w(self) -> WindowSpec:
         return Window.partitionBy(*self._partition).orderBy(self.order)
 

@@ -55,10 +55,12 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def flatten_articles(responses: DataFrame) -> DataFrame:
+    """One row per article; times are UTC whatever the session's time zone is."""
     article = responses.select("ticker", F.explode("articles").alias("article"))
+    instant = F.col("article.publishedAt").try_cast("timestamp")
     return article.select(
         "ticker",
-        F.col("article.publishedAt").try_cast("timestamp").alias("published_at"),
+        F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz").alias("published_at"),
         F.col("article.title").alias("title"),
         F.col("article.language").alias("lang"),
     )
@@ -73,15 +75,19 @@ def history(bars: DataFrame, period: str = "1y", as_of: Column | date | None = N
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                sort_by: Sequence[str] = ("company", "dt"), skip_empty: bool = False) -> bool:
-    """Overwrite a Parquet table from the executors; rows are sorted inside each file only.
+                sort_by: Sequence[str] = ("company", "dt"), skip_empty: bool = False,
+                by_range: bool = False) -> bool:
+    """Overwrite a Parquet table from the executors; rows are sorted inside each file.
 
-    The sort makes row-group statistics useful for company and date filters without a global
-    sort. Returns False when ``skip_empty`` found nothing to write.
+    ``by_range`` gives each file its own range of ``sort_by``, so that later filters on company
+    and day skip whole files; it costs a shuffle, and splits a long company over several files.
+    Returns False when ``skip_empty`` found nothing to write.
     """
     if skip_empty and df.isEmpty():
         return False
     present = [name for name in (*partition_by, *sort_by) if name in df.columns]
+    if by_range:
+        df = df.repartitionByRange(*dict.fromkeys(present))
     ordered = df.sortWithinPartitions(*dict.fromkeys(present)) if present else df
     ordered.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return True

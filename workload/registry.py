@@ -12,6 +12,7 @@ from tidemark.operators import (
     technical, windows,
 )
 from tidemark.operators.indicator import Indicator, apply_indicators
+from tidemark.plans import experiments
 from tidemark.plans.features import feature_table, merge_prices_and_sentiment
 from tidemark.plans.staging import stored
 from tidemark.session import scratch_folder
@@ -23,9 +24,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Digits that separate results from noise: averages of prices, other price-sized values, ratios.
 MEANS, PRICES, RATIOS = 4, 2, 6
 
-BASE_FEATURES = ("Return_1", "MA_10", "MA_20")
-POOLED_FEATURES = ("close", "sentiment", "Volatility_5", "Momentum_3", "Volume_Change")
-
 _registry: dict[str, Query] = {}
 
 
@@ -531,50 +529,28 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("selected").cast("int").alias("selected"))
 
 
-def _training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Return, averages, sentiment and direction of the last seven years."""
-    df = _bars_with_sentiment(spark, sf_dir)
+def _averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars with sentiment, returns and moving averages, stored as the trainers expect them."""
     chosen = [technical.returns_and_momentum, technical.moving_averages]
-    table = apply_indicators(df, chosen).select("company", "dt", *BASE_FEATURES, "sentiment").dropna()
-    table = stored(table)
-    return labels.direction_label(windows.recent_years(table, 7))
+    return stored(apply_indicators(_bars_with_sentiment(spark, sf_dir), chosen).dropna())
 
 
 @query
 def logistic_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per company: logistic regression without and with sentiment, judged on the later rows."""
-    split = stored(splits.by_position(_training_rows(spark, sf_dir)))
-    results = []
-    for name, features in (("Logistic (No Sentiment)", BASE_FEATURES),
-                           ("Logistic + Sentiment", (*BASE_FEATURES, "sentiment"))):
-        scored = models.logistic_per_company(split, features).withColumn("model", F.lit(name))
-        results.append(metrics.probability_experiment_table(scored))
-    return results[0].unionByName(results[1])
+    return experiments.logistic_experiment(_averages(spark, sf_dir))
 
 
 @query
 def sequence_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Returns predicted from the 20 rows before, judged per company."""
-    targets = stored(labels.return_targets(windows.recent_years(views.bars(spark, sf_dir), 3)))
-    rows = stored(technical.moving_averages(targets).dropna())
-    built = stored(labels.sequences(rows, ["Return", "MA_10", "MA_20"], lookback=20))
-    predicted = models.sequence_regressor(stored(splits.by_position(built)), max_iter=10)
-    return metrics.experiment_table(predicted.withColumn("model", F.lit("Boosted trees")))
+    """Returns predicted from the 60 rows before, without and with sentiment, judged per company."""
+    return experiments.sequence_experiment(_averages(spark, sf_dir))
 
 
 @query
 def sequence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Next-day direction of all companies from ten standardised steps."""
-    rows = stored(labels.log_return_features(_bars_with_sentiment(spark, sf_dir)))
-    split = splits.by_date_quantile(rows)
-    scaled = scaling.standard(split, POOLED_FEATURES, F.col("is_train"))
-    tagged = scaled.withColumn("part", F.when(F.col("is_train"), "train").otherwise("test"))
-    built = labels.sequences(tagged, POOLED_FEATURES, "Direction", labels.POOLED_LOOKBACK,
-                             keys=["part", "company"])
-    built = stored(built.withColumn("is_train", F.col("part") == "train"))
-    scored = stored(models.sequence_classifier(built))
-    measured = metrics.classification_metrics(scored)
-    return rounded(measured, {"accuracy": 2, "roc_auc": 4, "f1": 4, "mcc": 4})
+    return experiments.pooled_experiment(_bars_with_sentiment(spark, sf_dir))
 
 
 @query
