@@ -7,6 +7,7 @@ returns a Column. Missing values are NULL throughout.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 from pyspark.sql.window import Window, WindowSpec
@@ -65,15 +66,31 @@ def _weighted_mean(x: Column, alpha: float) -> Column:
     return spark_functions.ewm(x, alpha, False)
 
 
-def ema(x: Column, alpha: float, w: WindowSpec) -> Column:
-    """Recursive exponential mean: y0 = x0, y = alpha * x + (1 - alpha) * previous y.
+def _mean_name(name: str, alpha: float) -> str:
+    return f"_{name}_mean_{round(alpha * 1e9)}"
+
 
-    ``x`` may be NULL only before its first value. Spark's function normalises by the sum of
-    the weights; with k rows since the first value, giving that value the weight
-    (1 - alpha)^k which the recursion leaves on it turns one form into the other. The result
-    is one running window expression in the same pass as every other indicator.
+def ema_parts(name: str, x: Column, alphas: Iterable[float], w: WindowSpec) -> dict[str, Column]:
+    """Window expressions that ``ema_value`` turns into recursive exponential means of ``x``.
+
+    ``x`` may be NULL only before its first value. All parts are running window expressions, so
+    they are computed in the same pass as every other indicator.
     """
     running = w.rowsBetween(Window.unboundedPreceding, 0)
-    rest = F.pow(F.lit(1.0 - alpha), F.count(x).over(running))
-    first = F.first(x, ignorenulls=True).over(running)
-    return _weighted_mean(x, alpha).over(w) * (1 - rest) + first * rest
+    return {
+        f"_{name}_rows": F.count(x).over(running),
+        f"_{name}_first": F.first(x, ignorenulls=True).over(running),
+        **{_mean_name(name, alpha): _weighted_mean(x, alpha).over(w) for alpha in alphas},
+    }
+
+
+def ema_value(name: str, alpha: float) -> Column:
+    """Recursive exponential mean: y0 = x0, y = alpha * x + (1 - alpha) * previous y.
+
+    Spark's function normalises by the sum of the weights; with k rows since the first value,
+    giving that value the weight (1 - alpha)^k which the recursion leaves on it turns one form
+    into the other.
+    """
+    mean, first = F.col(_mean_name(name, alpha)), F.col(f"_{name}_first")
+    left_on_first = F.exp(F.col(f"_{name}_rows") * math.log(1.0 - alpha))
+    return mean + (first - mean) * left_on_first

@@ -15,12 +15,10 @@ def words(text: Column) -> Column:
     return F.filter(split_words(text), lambda part: part != "")
 
 
-def placed_runs(tokens: Column, n: int) -> Column:
-    """Every run of ``n`` neighbouring words with the 0-based place of its first word, as structs
-    (piece, place)."""
+def runs_of_words(tokens: Column, n: int) -> Column:
+    """For each word, it and the ``n`` - 1 words after it joined by blanks; NULL where too few follow."""
     def run(first: Column, at: Column) -> Column:
-        rest = [F.get(tokens, at + i) for i in range(1, n)]
-        return F.struct(F.concat_ws(" ", first, *rest).alias("piece"), at.alias("place"))
+        rest = [part for i in range(1, n) for part in (F.lit(" "), F.get(tokens, at + i))]
+        return F.concat(first, *rest)
 
-    # The last words start no complete run.
-    return F.slice(F.transform(tokens, run), 1, F.greatest(F.size(tokens) - n + 1, F.lit(0)))
+    return F.transform(tokens, run)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.series import ema, ema_memory, gain, loss, rolling, shift
+from tidemark.functions.series import ema_memory, ema_parts, ema_value, gain, loss, rolling, shift
 from tidemark.operators.indicator import Indicator, Stage, add_indicators
 from tidemark.operators.technical import FAST, SIGNAL, SLOW
 from tidemark.operators.windows import recent_days
@@ -24,22 +24,24 @@ def _close() -> Column:
 
 def _rsi_wilder(s: Series) -> list[Stage]:
     delta = _close() - F.col("_close_1_back")
-    up, down = F.col("_mean_up"), F.col("_mean_down")
+    up, down = ema_value("up", WILDER), ema_value("down", WILDER)
     index = F.when(down == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + up / down))
     return [
         {"_close_1_back": shift(_close(), 1, s.w), "_position": s.position},
         {"_up": F.coalesce(gain(delta), F.lit(0.0)), "_down": F.coalesce(loss(delta), F.lit(0.0))},
-        {"_mean_up": ema(F.col("_up"), WILDER, s.w), "_mean_down": ema(F.col("_down"), WILDER, s.w)},
+        {**ema_parts("up", F.col("_up"), (WILDER,), s.w),
+         **ema_parts("down", F.col("_down"), (WILDER,), s.w)},
         {"RSI": F.when(F.col("_position") >= 14, index)},
     ]
 
 
 def _macd_display(s: Series) -> list[Stage]:
+    macd = ema_value("close", FAST) - ema_value("close", SLOW)
     return [
-        {"_fast": ema(_close(), FAST, s.w), "_slow": ema(_close(), SLOW, s.w), "_position": s.position},
-        {"MACD": F.when(F.col("_position") >= 26, F.col("_fast") - F.col("_slow"))},
-        {"_signal": ema(F.col("MACD"), SIGNAL, s.w)},
-        {"MACD_Signal": F.when(F.col("_position") >= 26 + 9 - 1, F.col("_signal"))},
+        {**ema_parts("close", _close(), (FAST, SLOW), s.w), "_position": s.position},
+        {"MACD": F.when(F.col("_position") >= 26, macd)},
+        ema_parts("macd", F.col("MACD"), (SIGNAL,), s.w),
+        {"MACD_Signal": F.when(F.col("_position") >= 26 + 9 - 1, ema_value("macd", SIGNAL))},
     ]
 
 

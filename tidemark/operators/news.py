@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.text import placed_runs, split_words, words
+from tidemark.functions.text import runs_of_words, split_words, words
 from tidemark.plans.staging import broadcast_if_small
 
 # Names are looked up in pieces of at most this many words.
@@ -80,12 +80,15 @@ def match_names(articles: DataFrame, companies: DataFrame, text: str = "text", l
     if lang is not None:
         articles = articles.where(F.col("lang") == lang)
     pieces = _name_pieces(companies, ticker, name)
-    widths = sorted(row[0] for row in pieces.select("_width").distinct().collect())
-    pieces = broadcast_if_small(pieces, BROADCAST_PIECES)
+    sizes = {row["_width"]: row["count"] for row in pieces.groupBy("_width").count().collect()}
+    if sum(sizes.values()) <= BROADCAST_PIECES:
+        pieces = F.broadcast(pieces)
     tokens = articles.select(*keep, words(F.col(text)).alias("_tokens"))
-    runs = F.concat(*(placed_runs(F.col("_tokens"), n) for n in widths or [PIECE_WORDS]))
-    placed = tokens.select(*keep, F.explode(runs).alias("_run"))
-    found = placed.select(*keep, F.col("_run.piece").alias("piece"), F.col("_run.place").alias("_place"))
+    runs = F.array(*(runs_of_words(F.col("_tokens"), n) for n in sorted(sizes) or [PIECE_WORDS]))
+    found = (
+        tokens.select(*keep, F.explode(runs).alias("_runs"))
+        .select(*keep, F.posexplode("_runs").alias("_place", "piece"))
+    )
     lined_up = (
         found.join(pieces, "piece")
         .groupBy(*keep, ticker, "_phrase", "_pieces", (F.col("_place") - F.col("_offset")).alias("_start"))

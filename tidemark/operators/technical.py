@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from tidemark.functions.series import (
-    ema, ema_memory, finite, gain, loss, relative_change, rolling, shift, span_to_alpha,
+    ema_memory, ema_parts, ema_value, finite, gain, loss, relative_change, rolling, shift, span_to_alpha,
 )
 from tidemark.operators.indicator import Indicator, Stage
 from tidemark.plans.series import Series
@@ -34,8 +34,11 @@ def _mean_of_close(s: Series, *sizes: int) -> Stage:
     return {f"MA_{n}": rolling(F.avg, _close(), n, s.w) for n in sizes}
 
 
-def _recursive_means(s: Series) -> Stage:
-    return {"EMA_12": ema(_close(), FAST, s.w), "EMA_26": ema(_close(), SLOW, s.w)}
+def _exponential_averages(s: Series) -> list[Stage]:
+    return [
+        ema_parts("close", _close(), (FAST, SLOW), s.w),
+        {"EMA_12": ema_value("close", FAST), "EMA_26": ema_value("close", SLOW)},
+    ]
 
 
 def _one_day_delta() -> Column:
@@ -44,10 +47,11 @@ def _one_day_delta() -> Column:
 
 def _macd(s: Series) -> list[Stage]:
     return [
-        _recursive_means(s),
-        {"MACD": F.col("EMA_12") - F.col("EMA_26")},
-        {"MACD_Signal": ema(F.col("MACD"), SIGNAL, s.w)},
-        {"MACD_Hist": F.col("MACD") - F.col("MACD_Signal")},
+        ema_parts("close", _close(), (FAST, SLOW), s.w),
+        {"MACD": ema_value("close", FAST) - ema_value("close", SLOW)},
+        ema_parts("macd", F.col("MACD"), (SIGNAL,), s.w),
+        {"MACD_Signal": ema_value("macd", SIGNAL),
+         "MACD_Hist": F.col("MACD") - ema_value("macd", SIGNAL)},
     ]
 
 
@@ -153,7 +157,7 @@ def _candles(_: Series) -> list[Stage]:
 moving_averages = Indicator(
     ("MA_10", "MA_20", "MA_50"), ("close",), lambda s: [_mean_of_close(s, 10, 20, 50)], before=49)
 exponential_averages = Indicator(
-    ("EMA_12", "EMA_26"), ("close",), lambda s: [_recursive_means(s)], before=ema_memory(SLOW))
+    ("EMA_12", "EMA_26"), ("close",), _exponential_averages, before=ema_memory(SLOW))
 macd = Indicator(
     ("MACD", "MACD_Signal", "MACD_Hist"), ("close",), _macd,
     before=ema_memory(SLOW) + ema_memory(SIGNAL))

@@ -216,20 +216,20 @@ def _rounded_table(df: DataFrame) -> DataFrame:
 @query
 def feature_table_60(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 60 columns."""
-    return _rounded_table(feature_table(views.bars(spark, sf_dir), _daily(spark, sf_dir)))
+    return _rounded_table(feature_table(stored(views.bars(spark, sf_dir)), _daily(spark, sf_dir)))
 
 
 @query
 def feature_table_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 60 columns, every company cut into several segments."""
     return _rounded_table(feature_table(
-        views.bars(spark, sf_dir), _daily(spark, sf_dir), segment_rows=800))
+        stored(views.bars(spark, sf_dir)), _daily(spark, sf_dir), segment_rows=800))
 
 
 @query
 def feature_table_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table of every supplier's bars, without news."""
-    table = feature_table(views.bars_supplier(spark, sf_dir), None)
+    table = feature_table(stored(views.bars_supplier(spark, sf_dir)), None)
     numbers = {n: DIGITS[n] for n in ("EMA_26", "RSI", "BB_Std", "Vol_20", "Price_vs_MA50", "Stoch_D")}
     return rounded(table, {"Close": MEANS, **numbers}, "Company", "Date")
 
