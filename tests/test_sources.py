@@ -5,6 +5,7 @@ import pytest
 from panel import make_panel, to_spark
 from pyspark.sql import functions as F
 
+from tidemark.functions.cleaning import to_number
 from tidemark.operators import clean, profile, reshape, sentiment, windows
 from tidemark.plans.features import merge_prices_and_sentiment
 from tidemark.sources import bars_csv, tables
@@ -63,6 +64,15 @@ def test_clean_bars_picks_and_coerces(spark):
         clean.clean_bars(raw.drop("Price"))
 
 
+def test_numbers_and_tickers(spark):
+    df = spark.createDataFrame([("1,275,800",), ("$49.8",), ("₹12",), ("n/a",), ("NaN",), ("",), (None,)], "x STRING")
+    assert [r[0] for r in df.select(to_number(F.col("x"))).collect()] == [1275800.0, 49.8, 12.0] + [None] * 4
+    paths = {"/d/SNDK.csv": "SNDK", "/d/BRK.B.csv/part-0.csv": "BRK.B", "/d/file=A%20B.csv/part-0.csv": "A B",
+             "/d/all.csv/Q.csv": "Q"}
+    df = spark.createDataFrame(list(paths.items()), "path STRING, ticker STRING")
+    assert df.where(bars_csv.ticker_from_path(F.col("path")) == F.col("ticker")).count() == len(paths)
+
+
 def test_duplicate_keys_fail_loudly(spark):
     bars = to_spark(spark, make_panel({"A": 5}))
     assert clean.require_unique(bars).count() == 5

@@ -9,9 +9,9 @@ PRICE_NOISE = ",₹$"
 
 
 def to_number(text: Column) -> Column:
-    """Strip separators and currency signs, then read a double; NULL when it is not one."""
+    """Strip separators and currency signs, then read a double; NULL when it is not one, or NaN."""
     stripped = F.translate(text.cast("string"), PRICE_NOISE, "")
-    return F.trim(stripped).try_cast("double")
+    return F.nullif(F.trim(stripped).try_cast("double"), F.lit(float("nan")))
 
 
 def to_day(value: Column) -> Column:

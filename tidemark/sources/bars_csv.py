@@ -24,7 +24,8 @@ FIELDS = ("open", "high", "low", "close", "volume")
 BROADCAST_FILES = 50_000
 
 # ``.../SNDK.csv``, ``.../SNDK.csv/part-0.csv`` and ``.../file=SNDK.csv/part-0.csv`` all give SNDK.
-TICKER_IN_PATH = r"([^/=]+)\.csv(?:/[^/]*)?$"
+# Other files in a folder named ``x.csv`` go by their own names.
+TICKER_IN_PATH = r"([^/=]+)\.csv(?:/part-[^/]*)?$"
 
 
 def ticker_from_path(path: Column | None = None) -> Column:
