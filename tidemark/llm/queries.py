@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, minhash, token_counts
 
 _registry: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _oracles: dict[str, str] = {}
@@ -40,3 +40,16 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and unigram pieces of every document."""
+    scores = token_counts.load_scores(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), scores).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
