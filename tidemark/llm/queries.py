@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, minhash, token_counts
+from tidemark.llm import bpe, fingerprints, minhash, token_counts
 
 _registry: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _oracles: dict[str, str] = {}
@@ -53,3 +53,39 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate component."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op9_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    found = fingerprints.compared_with_edit(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next", "edited_paragraph")
+
+
+_oracles["op9_merkle_fingerprints"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_text
+      FROM d WINDOW w AS (ORDER BY doc_id NULLS FIRST, text)),
+e AS (SELECT doc_id, text, next_text, substr(text, 1, (length(text) - length(text) // 4)::BIGINT)
+             || substr(next_text, 1, (length(text) // 4)::BIGINT) AS edited FROM n),
+t AS (SELECT *,
+    [[md5(p) FOR p IN string_split(s, chr(10))] FOR s IN string_split(text, chr(10) || chr(10))] AS a,
+    [[md5(p) FOR p IN string_split(s, chr(10))] FOR s IN string_split(edited, chr(10) || chr(10))] AS b,
+    list_distinct(regexp_extract_all(text, '(?s).*?(?:[\n.,;:!?|]|[aeionst] )|.+')) AS f,
+    list_distinct(regexp_extract_all(edited, '(?s).*?(?:[\n.,;:!?|]|[aeionst] )|.+')) AS g,
+    list_distinct(regexp_extract_all(next_text, '(?s).*?(?:[\n.,;:!?|]|[aeionst] )|.+')) AS h FROM e),
+z AS (SELECT *, list_position([coalesce(x[1] = x[2], false) FOR x IN list_zip(flatten(a), flatten(b))], false) AS para,
+    list_position([coalesce(x[1] = x[2], false) FOR x IN list_zip(a, b)], false) AS sect FROM t)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256,
+    sha256(array_to_string([md5(array_to_string(s, '')) FOR s IN a], '')) AS fingerprint,
+    sha256(array_to_string([md5(array_to_string(s, '')) FOR s IN b], '')) AS edited_fingerprint,
+    CASE WHEN greatest(len(f), len(g)) = 0 THEN 1.0::DOUBLE
+         ELSE len(list_intersect(f, g))::DOUBLE / greatest(len(f), len(g)) END AS near_edited,
+    CASE WHEN greatest(len(f), len(h)) = 0 THEN 1.0::DOUBLE
+         ELSE len(list_intersect(f, h))::DOUBLE / greatest(len(f), len(h)) END AS near_next,
+    CASE WHEN para > 0 THEN (para - 1)::BIGINT
+         WHEN sect > 0 THEN (list_sum([len(s) FOR s IN a[1:sect]]) - 1)::BIGINT END AS edited_paragraph
+FROM z
+"""
