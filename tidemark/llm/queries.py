@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprints, minhash, token_counts
+from tidemark.llm import bpe, fingerprints, minhash, secrets, token_counts
 
 _registry: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _oracles: dict[str, str] = {}
@@ -89,3 +89,14 @@ SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256,
          WHEN sect > 0 THEN (list_sum([len(s) FOR s IN a[1:sect]]) - 1)::BIGINT END AS edited_paragraph
 FROM z
 """
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document, and counts of the fixed patterns."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = (F.size(F.array_remove(kinds, kind)) for kind, *_ in secrets.BASE)
+    counts = ((F.size("base") - rest).cast("long").alias(f"n_{kind}") for (kind, *_), rest in zip(secrets.BASE, counts))
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+                        secrets.listed(F.col("spans")).alias("spans"))
