@@ -13,6 +13,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -75,48 +76,33 @@ def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text",
-           block_chars: int = wordblocks.BLOCK_CHARS) -> DataFrame:
+           block_bytes: int = wordblocks.BLOCK_BYTES) -> DataFrame:
     """id LONG (the key column), ids ARRAY<INT>: one row per row of ``docs``.
 
     A null or empty text has no ids. Repeated rows and repeated or null keys each give their own row.
     Other columns of ``docs`` are not read, so their names do not matter.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(ranks)
+    shared, parts = spark.sparkContext.broadcast(ranks), wordblocks.part_count(spark)
 
     def pieces(unit: str) -> list[str]:
-        return regex.findall(pattern, unit)
+        # Letters behind at most one space are one match of the pattern; the rest is left to it.
+        letters = unit[1:] if unit[:1] == " " else unit
+        return [unit] if letters.isalpha() else regex.findall(pattern, unit)
 
-    def encoded(batches):
-        last, ids, ranked = None, b"", shared.value
-        for batch in batches:
-            out = []
-            for word in batch.column(2).to_pylist():
-                if word != last:
-                    last, ids = word, np.array(encode_word(word.encode(), ranked), "<u4").tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["block", "code", "ids"])
-
-    # Equal words lie one after the other, so each distinct word is encoded once.
-    found = wordblocks.words(docs, pieces, text, block_chars).repartition(F.col("word"))
-    known = found.sortWithinPartitions("word").mapInArrow(encoded, "block string, code int, ids binary")
-
-    def assembled(texts: pa.Table, table: pa.Table) -> pa.Table:
-        codes = table["code"].to_numpy()
-        lists = table["ids"].to_pylist()
-        lists = [lists[at] for at in np.argsort(codes)]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
-        flat = np.frombuffer(b"".join(lists), "<u4").astype(np.int32)
-        out = [wordblocks.gathered(flat, sizes, wordblocks.unpacked(data, n))
-               for n, data in zip(texts["n"].to_pylist(), texts["codes"].to_pylist())]
+    def answer(found: list[str]) -> list[list[int]]:
+        ranked = shared.value
+        return [encode_word(word.encode(), ranked) for word in found]
+
+    def build(texts: pa.Table, codes: list[np.ndarray], sizes: np.ndarray, flat: np.ndarray) -> pa.Table:
+        out = [wordblocks.gathered(flat, sizes, found) for found in codes]
         ends = np.cumsum([0, *map(len, out)])
-        whole = np.concatenate([np.empty(0, np.int32), *out])
-        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(whole, pa.int32()))
-        return pa.table({"id": texts["id"], "ids": ids})
+        whole = np.concatenate([np.empty(0, np.int64), *out])
+        return pa.table({"id": texts["id"], "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(whole, pa.int32()))})
 
-    coded = wordblocks.codes(docs, pieces, key, text, block_chars)
-    return coded.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(assembled, "id long, ids array<int>")
+    known = wordblocks.answers(wordblocks.words(docs, pieces, text, parts, block_bytes=block_bytes), answer, parts)
+    coded = wordblocks.codes(docs, pieces, key, text, parts, block_bytes=block_bytes)
+    return wordblocks.assembled(coded, known, build, "id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
@@ -130,11 +116,14 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Dat
     shared = encoded.sparkSession.sparkContext.broadcast(table)
 
     def decoded(batches):
-        bytes_of = shared.value.__getitem__
+        tokens = pa.array(shared.value, pa.large_binary())
         for batch in batches:
-            lists = batch.column(at)
-            out = [b"".join(map(bytes_of, row.values.to_numpy().tolist())) if row.is_valid else None for row in lists]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out, pa.binary())], names)
+            lists = batch.column(at).cast(pa.large_list(pa.int32()))
+            flat = tokens.take(lists.flatten())
+            ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+            out = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), flat), pa.scalar(b"", pa.large_binary()))
+            out = pc.if_else(lists.is_valid(), out, pa.scalar(None, pa.large_binary()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), out.cast(pa.binary())], names)
 
     at, kept = encoded.columns.index(ids), [i for i, c in enumerate(encoded.columns) if c != "decoded"]
     names = [*(encoded.columns[i] for i in kept), "decoded"]

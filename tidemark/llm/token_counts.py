@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tidemark.llm import wordblocks
 
@@ -72,37 +72,24 @@ class TriePath:
 
 
 def count_tokens(docs: DataFrame, scores: dict[str, float], key: str = "doc_id", text: str = "text",
-                 block_chars: int = wordblocks.BLOCK_CHARS) -> DataFrame:
+                 block_bytes: int = wordblocks.BLOCK_BYTES) -> DataFrame:
     """id LONG (the key column), n_words LONG, n_tokens LONG: one row per row of ``docs``.
 
     A null, empty or blank text has 0 of both. Repeated rows and repeated or null keys each give
     their own row. Other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(scores)
-
-    def counted(batches):
-        path, last, pieces = TriePath(shared.value), None, 0
-        for batch in batches:
-            out = []
-            for word in batch.column(2).to_pylist():
-                if word != last:
-                    last, pieces = word, path.terminal(word)
-                out.append(pieces)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.int32())], ["block", "code", "pieces"])
-
-    found = wordblocks.words(docs, marked_words, text, block_chars)
-    known = found.repartition(F.substring("word", 1, SHARED_PREFIX)).sortWithinPartitions("word").mapInArrow(
-        counted, "block string, code int, pieces int")
-
-    def summed(texts: pa.Table, table: pa.Table) -> pa.Table:
-        pieces = np.zeros(table.num_rows, np.int64)
-        pieces[table["code"].to_numpy()] = table["pieces"].to_numpy()
-        totals = [int(pieces[wordblocks.unpacked(data, n)].sum())
-                  for n, data in zip(texts["n"].to_pylist(), texts["codes"].to_pylist())]
+    spark = docs.sparkSession
+    shared, parts = spark.sparkContext.broadcast(scores), wordblocks.part_count(spark)
+
+    def answer(found: list[str]) -> list[list[int]]:
+        path = TriePath(shared.value)
+        return [[path.terminal(word)] for word in found]
+
+    def build(texts: pa.Table, codes: list[np.ndarray], sizes: np.ndarray, flat: np.ndarray) -> pa.Table:
         return pa.table({"id": texts["id"], "n_words": texts["n"].cast(pa.int64()),
-                         "n_tokens": pa.array(totals, pa.int64())})
+                         "n_tokens": pa.array([int(flat[found].sum()) for found in codes], pa.int64())})
 
-    coded = wordblocks.codes(docs, marked_words, key, text, block_chars)
-    return coded.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        summed, "id long, n_words long, n_tokens long")
+    found = wordblocks.words(docs, marked_words, text, parts, SHARED_PREFIX, block_bytes)
+    coded = wordblocks.codes(docs, marked_words, key, text, parts, SHARED_PREFIX, block_bytes)
+    known = wordblocks.answers(found, answer, parts)
+    return wordblocks.assembled(coded, known, build, "id long, n_words long, n_tokens long")
