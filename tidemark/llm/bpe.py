@@ -84,11 +84,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "d
     """
     spark = docs.sparkSession
     shared, parts = spark.sparkContext.broadcast(ranks), wordblocks.part_count(spark)
+    matches = regex.compile(pattern).findall
 
     def pieces(unit: str) -> list[str]:
         # Letters behind at most one space are one match of the pattern; the rest is left to it.
         letters = unit[1:] if unit[:1] == " " else unit
-        return [unit] if letters.isalpha() else regex.findall(pattern, unit)
+        return [unit] if letters.isalpha() else matches(unit)
 
     def answer(found: list[str]) -> list[list[int]]:
         ranked = shared.value

@@ -14,6 +14,7 @@ partitions each time, as a scan of files does; store anything else first.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,14 +32,6 @@ OPEN_SPACE = (r" (?:[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}
 Pieces = Callable[[str], list[str]]
 
 
-class Vocabulary(dict):
-    """Numbers words as they are first asked for."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 def gathered(flat: np.ndarray, sizes: np.ndarray, picked: np.ndarray) -> np.ndarray:
     """The lists number ``picked``, one after the other, out of lists that lie in ``flat``."""
     starts, lengths = np.cumsum(sizes) - sizes, sizes[picked]
@@ -73,7 +66,8 @@ def _units(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     # Even numbers are units at a text's head, odd ones stand behind a space.
     number = found.indices.to_numpy().astype(np.int64) * 2 + 1
     number[np.cumsum(sizes[~open_space]) - sizes[~open_space]] -= 1
-    used, order = np.unique(number, return_inverse=True)
+    seen = np.bincount(number) > 0
+    used, order = np.flatnonzero(seen), (np.cumsum(seen) - 1)[number]
     words = found.dictionary.take(pa.array(used // 2)).to_pylist()
     units = [" " + word if odd else word for word, odd in zip(words, (used % 2).tolist())]
     if not open_space.any():
@@ -87,11 +81,10 @@ def _units(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 def _block(texts: pa.Array, pieces: Pieces, parts: int, prefix: int | None):
     """The block's words ordered by part, the parts of them, and the codes of all texts with each text's number."""
     units, sizes, order = _units(texts)
-    vocabulary = Vocabulary()
-    cut = [[vocabulary[piece] for piece in pieces(unit)] for unit in units]
+    cut = list(map(pieces, units))
     lengths = np.fromiter(map(len, cut), np.int64, len(cut))
-    flat = np.fromiter((code for codes in cut for code in codes), np.int64, int(lengths.sum()))
-    words = pa.array(vocabulary, pa.string())
+    found = pa.array(list(chain.from_iterable(cut)), pa.string()).dictionary_encode()
+    words, flat = found.dictionary, found.indices.to_numpy()
     heads = words if prefix is None else pc.utf8_slice_codeunits(words, 0, prefix)
     part = (pd.util.hash_array(heads.to_numpy(zero_copy_only=False), categorize=False) % np.uint64(parts)).astype(np.int64)
     by_part = np.argsort(part, kind="stable")
