@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprints, minhash, secrets, token_counts
+from tidemark.llm import bpe, fingerprints, minhash, secrets, token_counts, vectors
 
 _registry: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _oracles: dict[str, str] = {}
@@ -100,3 +100,9 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ((F.size("base") - rest).cast("long").alias(f"n_{kind}") for (kind, *_), rest in zip(secrets.BASE, counts))
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
                         secrets.listed(F.col("spans")).alias("spans"))
+
+
+@query
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and component."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
