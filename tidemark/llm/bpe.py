@@ -21,6 +21,8 @@ from tidemark.llm import wordblocks
 
 # Words longer than this are merged with a heap: repeated search for the best pair is quadratic.
 LONG_WORD = 48
+# Documents that are decoded at a time.
+SLICE = 200
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -95,11 +97,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "d
         ranked = shared.value
         return [encode_word(word.encode(), ranked) for word in found]
 
-    def build(texts: pa.Table, codes: list[np.ndarray], sizes: np.ndarray, flat: np.ndarray) -> pa.Table:
-        out = [wordblocks.gathered(flat, sizes, found) for found in codes]
-        ends = np.cumsum([0, *map(len, out)])
-        whole = np.concatenate([np.empty(0, np.int64), *out])
-        return pa.table({"id": texts["id"], "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(whole, pa.int32()))})
+    def build(texts: pa.Table, codes: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> pa.Table:
+        lengths = wordblocks.sums(sizes[codes], texts["n"].to_numpy())
+        ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]), pa.int32()), pa.array(wordblocks.gathered(flat, sizes, codes)))
+        return pa.table({"id": texts["id"], "ids": ids})
 
     known = wordblocks.answers(wordblocks.words(docs, pieces, text, parts, block_bytes=block_bytes), answer, parts)
     coded = wordblocks.codes(docs, pieces, key, text, parts, block_bytes=block_bytes)
@@ -118,7 +119,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Dat
 
     def decoded(batches):
         tokens = pa.array(shared.value, pa.large_binary())
-        for batch in batches:
+        for batch in (whole.slice(start, SLICE) for whole in batches for start in range(0, whole.num_rows, SLICE)):
             lists = batch.column(at).cast(pa.large_list(pa.int32()))
             flat = tokens.take(lists.flatten())
             ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])

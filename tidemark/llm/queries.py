@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprints, minhash, secrets, token_counts, vectors
+from tidemark.llm import bpe, fingerprints, langid, line_templates, minhash, mixing, secrets, token_counts, vectors
 
 _registry: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _oracles: dict[str, str] = {}
@@ -106,3 +106,26 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's links and component."""
     return vectors.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2)
+    model = langid.fit(docs.where("NOT held_out"))
+    return langid.predict(docs, model, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its recurring lines, as counts and a digest of the text that is left."""
+    found = line_templates.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_dropped").cast("long").alias("n_dropped"),
+                        "left_whole", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in a mix of the sources by the roots of their sizes."""
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))

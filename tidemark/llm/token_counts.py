@@ -85,9 +85,9 @@ def count_tokens(docs: DataFrame, scores: dict[str, float], key: str = "doc_id",
         path = TriePath(shared.value)
         return [[path.terminal(word)] for word in found]
 
-    def build(texts: pa.Table, codes: list[np.ndarray], sizes: np.ndarray, flat: np.ndarray) -> pa.Table:
+    def build(texts: pa.Table, codes: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> pa.Table:
         return pa.table({"id": texts["id"], "n_words": texts["n"].cast(pa.int64()),
-                         "n_tokens": pa.array([int(flat[found].sum()) for found in codes], pa.int64())})
+                         "n_tokens": pa.array(wordblocks.sums(flat[codes], texts["n"].to_numpy()))})
 
     found = wordblocks.words(docs, marked_words, text, parts, SHARED_PREFIX, block_bytes)
     coded = wordblocks.codes(docs, marked_words, key, text, parts, SHARED_PREFIX, block_bytes)

@@ -23,7 +23,9 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 12_000_000
+# Documents of a block that are put together at a time.
+SLICE = 200
 
 # A space before further white space or the end: there a word's split depends on its neighbours.
 OPEN_SPACE = (r" (?:[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -34,12 +36,19 @@ Pieces = Callable[[str], list[str]]
 
 def gathered(flat: np.ndarray, sizes: np.ndarray, picked: np.ndarray) -> np.ndarray:
     """The lists number ``picked``, one after the other, out of lists that lie in ``flat``."""
-    starts, lengths = np.cumsum(sizes) - sizes, sizes[picked]
+    starts, lengths = np.cumsum(sizes) - sizes, sizes[picked].astype(np.int64)
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return flat[np.repeat(starts[picked] - ends + lengths, lengths) + np.arange(total)]
 
 
+def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of runs of values, of the given lengths."""
+    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    ends = np.cumsum(counts)
+    return total[ends] - total[ends - counts]
+
+
 def packed(values: np.ndarray) -> bytes:
     """Numbers below 2^32 as compressed bytes."""
     raw = values.astype("<u4").tobytes()
@@ -90,9 +99,7 @@ def _block(texts: pa.Array, pieces: Pieces, parts: int, prefix: int | None):
     by_part = np.argsort(part, kind="stable")
     code = np.empty(len(words), np.int64)
     code[by_part] = np.arange(len(words))
-    total = np.concatenate([[0], np.cumsum(lengths[order])])
-    ends = np.cumsum(sizes)
-    return words.take(pa.array(by_part)), part[by_part], gathered(code[flat], lengths, order), total[ends] - total[ends - sizes]
+    return words.take(pa.array(by_part)), part[by_part], gathered(code[flat], lengths, order), sums(lengths[order], sizes)
 
 
 def _blocks(batches, block_bytes: int) -> Iterator[tuple[str, pa.Array, pa.Array]]:
@@ -204,17 +211,22 @@ def codes(docs: DataFrame, pieces: Pieces, key: str, text: str, parts: int, pref
     return read.mapInArrow(rows, "block string, id long, n int, codes binary")
 
 
-def assembled(coded: DataFrame, known: DataFrame, build: Callable[[pa.Table, list[np.ndarray], np.ndarray, np.ndarray], pa.Table],
+def assembled(coded: DataFrame, known: DataFrame, build: Callable[[pa.Table, np.ndarray, np.ndarray, np.ndarray], pa.Table],
               schema: str) -> DataFrame:
-    """``build`` (the block's documents, their codes, and the answers as sizes and flat numbers) for every block."""
+    """``build`` (some documents of a block, their codes in order, and the answers as sizes and flat numbers) for all."""
 
     def joined(texts: pa.Table, table: pa.Table) -> pa.Table:
-        sizes, flat = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        sizes, flat = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
         for row in sorted(table.to_pylist(), key=lambda r: r["start"]):
-            whole = unpacked(row["data"], row["size"]).astype(np.int64)
+            whole = unpacked(row["data"], row["size"]).view(np.int32)
             sizes.append(whole[:row["n"]])
             flat.append(whole[row["n"]:])
-        found = [unpacked(data, n) for n, data in zip(texts["n"].to_pylist(), texts["codes"].to_pylist())]
-        return build(texts, found, np.concatenate(sizes), np.concatenate(flat))
+        sizes, flat = np.concatenate(sizes), np.concatenate(flat)
+
+        def built(some: pa.Table) -> pa.Table:
+            codes = [unpacked(data, n) for n, data in zip(some["n"].to_pylist(), some["codes"].to_pylist())]
+            return build(some, np.concatenate(codes), sizes, flat)
+
+        return pa.concat_tables([built(texts.slice(at, SLICE)) for at in range(0, texts.num_rows, SLICE)])
 
     return coded.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(joined, schema)
