@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 RESOLUTION = 1000
 BLOCK_ROWS = 64
 # Rows of a source that are numbered in one task.
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 10_000
 
 
 def shares(weights: dict, resolution: int = RESOLUTION) -> dict:
