@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprints, langid, line_templates, minhash, mixing, secrets, token_counts, vectors
+from tidemark.llm import bpe, chat, fingerprints, langid, line_templates, minhash, mixing, secrets, token_counts, vectors
 
 _registry: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _oracles: dict[str, str] = {}
@@ -129,3 +129,79 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in a mix of the sources by the roots of their sizes."""
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+# What a turn that asks for an answer has to hold.
+TURN = {"required": ["text", "turn"], "types": {"text": "string", "turn": "integer"}}
+
+
+@query
+def op7_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of a conversation that is not the assistant's as a call, linked with the assistant's turn behind it.
+
+    The table holds no tool calls of its own; a turn needs the one two before it, if that is a call.
+    """
+    turns = table(spark, sf_dir, "conversations")
+    name = lambda back: F.concat_ws("-", "conv_id", F.col("turn") - back)
+    assistant = F.coalesce(F.col("role") == "assistant", F.lit(False))
+    calls = turns.where(~assistant & F.col("turn").isNotNull()).select(
+        F.col("conv_id").alias("conv"), name(0).alias("call"), "turn", F.col("role").alias("name"),
+        F.to_json(F.struct("turn", "text")).alias("arguments"), F.array(name(2)).alias("needs"))
+    results = turns.where(assistant & F.col("turn").isNotNull()).select(
+        F.col("conv_id").alias("conv"), name(1).alias("call"), "turn", F.col("text").alias("content"))
+    linked = chat.link_calls(calls, results, {"user": TURN, "system": TURN})
+    return linked.select(F.col("conv").alias("conv_id"), F.col("call").alias("call_id"), "status", F.col("level").cast("long").alias("level"),
+                         "turn", F.array_join("faults", ",").alias("faults"), "line")
+
+
+_oracles["op7_tool_call_links"] = """
+WITH t AS (SELECT * FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+c AS (SELECT conv_id, turn, role, text FROM t WHERE role IS DISTINCT FROM 'assistant'
+      QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY role NULLS FIRST,
+          CASE WHEN text IS NULL THEN '{"turn":' || turn || '}' ELSE to_json({turn: turn, text: text})::VARCHAR END) = 1),
+r AS (SELECT conv_id, turn - 1 AS asked, turn, text FROM t WHERE role = 'assistant'
+      QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY text NULLS FIRST) = 1),
+j AS (SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.asked) AS asked, coalesce(c.turn, r.turn) AS turn,
+             role, c.text AS text, c.turn IS NOT NULL AS is_call, r.turn IS NOT NULL AS is_answered, r.text AS answer
+      FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.turn = r.asked),
+f AS (SELECT *, CASE WHEN NOT is_call THEN 'orphan' WHEN is_answered THEN 'linked' ELSE 'unanswered' END AS status,
+             CASE WHEN NOT is_call THEN [] WHEN role IS NULL OR role NOT IN ('user', 'system') THEN ['unknown tool']
+                  WHEN text IS NULL THEN ['missing text'] ELSE [] END::VARCHAR[] AS faults FROM j)
+SELECT conv_id, conv_id || '-' || asked AS call_id, status, 0::BIGINT AS level, turn, array_to_string(faults, ',') AS faults,
+    '{' || CASE WHEN is_call THEN '"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE '"text":' || to_json(text)::VARCHAR || ',' END
+                                  || '"turn":' || turn || '},' ELSE '' END
+        || '"call":"' || conv_id || '-' || asked || '","conv":' || conv_id || ',"faults":' || to_json(faults)::VARCHAR
+        || CASE WHEN is_call AND role IS NOT NULL THEN ',"name":' || to_json(role)::VARCHAR ELSE '' END
+        || CASE WHEN answer IS NOT NULL THEN ',"result":' || to_json(answer)::VARCHAR ELSE '' END
+        || ',"status":"' || status || '","turn":' || turn || '}' AS line
+FROM f
+"""
+
+_oracles["op2_line_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+u AS (SELECT doc_id, text, row_number() OVER () AS u FROM (SELECT DISTINCT doc_id, text FROM d WHERE text IS NOT NULL)),
+s AS (SELECT u, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM u),
+m AS (SELECT u, place, regexp_replace(trim(regexp_replace(line, '[ \t\r\v\f]+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS masked FROM s),
+l AS (SELECT *, string_split(masked, ' ') AS w FROM m WHERE masked <> ''),
+k AS (SELECT *, len(w) AS n, w[1:3] AS head FROM l),
+v AS (SELECT DISTINCT n, head, masked, w[4:] AS tail FROM k WHERE n >= 5),
+p AS (SELECT n, head, unnest(tail) AS token, generate_subscripts(tail, 1) AS pos FROM v),
+o AS (SELECT n, head, pos, token FROM (SELECT n, head, pos, token, count(*) AS c FROM p GROUP BY ALL)
+      QUALIFY row_number() OVER (PARTITION BY n, head, pos ORDER BY c DESC, token) = 1),
+h AS (SELECT n, head, list(token ORDER BY pos) AS shape FROM o GROUP BY n, head),
+a AS (SELECT n, head, count(*) AS lines FROM (SELECT DISTINCT n, head, masked FROM k) GROUP BY n, head),
+b AS (SELECT v.masked FROM v JOIN h USING (n, head) JOIN a USING (n, head)
+      WHERE lines > 1 AND 2 * len(list_filter(list_zip(tail, shape), lambda x: x[1] = x[2])) >= len(tail)),
+t AS (SELECT k.u, k.place, CASE WHEN b.masked IS NULL THEN {n: 0::BIGINT, head: [k.masked]} ELSE {n: k.n, head: k.head} END AS template
+      FROM k LEFT JOIN b ON k.masked = b.masked),
+q AS (SELECT template FROM t GROUP BY template HAVING count(DISTINCT u) >= 5),
+x AS (SELECT u, list(DISTINCT place) AS drops FROM t JOIN q USING (template) GROUP BY u),
+y AS (SELECT u.doc_id, u.text, coalesce(drops, []) AS drops, string_split(u.text, chr(10)) AS cut FROM u LEFT JOIN x USING (u)),
+z AS (SELECT *, [length(regexp_replace(c, '[ \t\r\v\f]+', '', 'g')) FOR c IN cut] AS letters FROM y),
+e AS (SELECT *, coalesce(2 * list_sum([letters[i] FOR i IN drops]) > list_sum(letters), false) AS whole FROM z)
+SELECT d.doc_id, coalesce(len(list_filter(letters, lambda i: i > 0)), 0)::BIGINT AS n_lines,
+    CASE WHEN whole THEN 0 ELSE coalesce(len(drops), 0) END::BIGINT AS n_dropped, coalesce(whole, false) AS left_whole,
+    sha256(CASE WHEN whole OR len(drops) = 0 THEN e.text
+           ELSE array_to_string([cut[i] FOR i IN range(1, len(cut) + 1) IF NOT list_contains(drops, i)], chr(10)) END) AS text_sha256
+FROM d LEFT JOIN e ON d.doc_id IS NOT DISTINCT FROM e.doc_id AND d.text = e.text
+"""
