@@ -9,17 +9,20 @@ candidates of the corpus is held by the step-up rule on counts of these p-values
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import log, log10, pi, sqrt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.plans.staging import stored
 
-# The base patterns (kind, pattern, group whose length counts, least length).
+# The base patterns (kind, pattern, group whose length counts, least length). Runs of
+# hexadecimal digits or behind AKIA are matched whole or not at all, so their least length can stand
+# in the pattern; a short assignment uses up its text and can't.
 BASE = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
-    ("access", r"AKIA[A-Z0-9]+", 0, 18),
-    ("hex", r"[0-9a-f]+", 0, 16),
+    ("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
+    ("hex", r"[0-9a-f]{16,}", 0, 16),
 )
 RANDOM = "random"
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
@@ -42,12 +45,16 @@ FALSE_DISCOVERIES = 0.001
 STEP, LAST = 0.01, 400.0
 
 
+def _with(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build`` of a value that is computed once, however often ``build`` names it."""
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
 def _spans(text: Column, pattern: str, group: int) -> Column:
     """ARRAY<STRUCT<start, stop, size, word>> of all matches: code points, and the group's length."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    groups = matches if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    rows = F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)).alias("gap"),
-                        matches.alias("word"), groups.alias("part"))
+    words = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = words if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    gaps = F.split(text, pattern, -1)
     none = F.array().cast("array<struct<start:int,stop:int,size:int,word:string>>")
 
     def more(done: Column, row: Column) -> Column:
@@ -57,6 +64,8 @@ def _spans(text: Column, pattern: str, group: int) -> Column:
                         row["word"].alias("word"))
         return F.struct(stop.alias("at"), F.concat(done["found"], F.array(span)).alias("found"))
 
+    # What stands behind the last match has no word; it is cut off.
+    rows = F.filter(F.arrays_zip(gaps.alias("gap"), words.alias("word"), parts.alias("part")), lambda r: r["word"].isNotNull())
     found = F.aggregate(rows, F.struct(F.lit(0).alias("at"), none.alias("found")), more, lambda done: done["found"])
     return F.when(text.rlike(pattern), found).otherwise(none)
 
@@ -106,16 +115,22 @@ def weight(word: Column) -> Column:
     tests = None
     for _, alphabet, pattern in ALPHABETS:
         bins = 5 if len(alphabet) == 10 else 8
-        test = _could_be_random(_bins(word, alphabet, bins), bins)
+        test = _with(_bins(word, alphabet, bins), lambda values: _could_be_random(values, bins))  # noqa: B023
         tests = F.when(word.rlike(pattern), test) if tests is None else tests.when(word.rlike(pattern), test)
     classes = F.split(F.regexp_replace(F.regexp_replace(F.regexp_replace(
         F.rtrim(word, F.lit("=")), "[A-Z]", "U"), "[a-z]", "l"), "[0-9]", "9"), "")
-    n = F.size(classes) - 1
-    changes = F.aggregate(F.zip_with(F.slice(classes, F.lit(1), n), F.slice(classes, F.lit(2), n),
-                                     lambda a, b: (a != b).cast("int")), F.lit(0), lambda s, x: s + x)
-    z = (changes - n * TEXT_CHANGES) / F.sqrt(n * (TEXT_CHANGES * (1 - TEXT_CHANGES)))
-    tail = (z * z / 2 + F.log(z * sqrt(2 * pi))) / log(10)
-    return F.when(z <= 1, 0.0).when(F.coalesce(tests, F.lit(False)), F.least(tail, F.lit(LAST))).otherwise(0.0)
+
+    def deviate(classes: Column) -> Column:
+        n = F.size(classes) - 1
+        changes = F.aggregate(F.zip_with(F.slice(classes, F.lit(1), n), F.slice(classes, F.lit(2), n),
+                                         lambda a, b: (a != b).cast("int")), F.lit(0), lambda s, x: s + x)
+        return (changes - n * TEXT_CHANGES) / F.sqrt(n * (TEXT_CHANGES * (1 - TEXT_CHANGES)))
+
+    def tail(z: Column) -> Column:
+        found = (z * z / 2 + F.log(z * sqrt(2 * pi))) / log(10)
+        return F.when(z <= 1, 0.0).when(F.coalesce(tests, F.lit(False)), F.least(found, F.lit(LAST))).otherwise(0.0)
+
+    return _with(_with(classes, deviate), tail)
 
 
 def _threshold(weights: DataFrame) -> float:
