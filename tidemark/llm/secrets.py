@@ -38,7 +38,8 @@ ALPHABETS = (
 )
 # A random token fails one of the two uniformity tests with this probability.
 ALPHA = 1e-4
-# Share of neighbouring characters of unlike class (letters of either case, digits, signs) in written names.
+# Share of neighbouring characters of unlike class (letters of either case, digits, signs) in written
+# names. A capital before a small letter is no change: it is how a name's word begins.
 TEXT_CHANGES = 0.15
 FALSE_DISCOVERIES = 0.001
 # The p-values are counted in steps of this many powers of ten, down to the last step.
@@ -123,7 +124,8 @@ def weight(word: Column) -> Column:
     def deviate(classes: Column) -> Column:
         n = F.size(classes) - 1
         changes = F.aggregate(F.zip_with(F.slice(classes, F.lit(1), n), F.slice(classes, F.lit(2), n),
-                                         lambda a, b: (a != b).cast("int")), F.lit(0), lambda s, x: s + x)
+                                         lambda a, b: (
+            (a != b) & ~((a == "U") & (b == "l"))).cast("int")), F.lit(0), lambda s, x: s + x)
         return (changes - n * TEXT_CHANGES) / F.sqrt(n * (TEXT_CHANGES * (1 - TEXT_CHANGES)))
 
     def tail(z: Column) -> Column:
