@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from workload import oracles, registry
 
 SF_DIR = entry_point.SMOKE_DIR
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = registry.all_queries(), oracles.all_oracles()
 WITHOUT_SQL = {"logistic_baseline", "sequence_regressor", "sequence_classifier", "score_latest"}
 
 
