@@ -21,14 +21,15 @@ from tidemark.plans.staging import stored
 DEPTH, MIN_DOCS = 3, 5
 FIELD = "<*>"
 # What separates tokens, and a token with a digit in it.
-BLANKS = r"[ \t\r\x0b\f]+"
-VARIABLE = r"[^ ]*[0-9][^ ]*"
+BLANK = " \t\r\x0b\f"
+BLANKS, UNEVEN = r"[ \t\r\x0b\f]+", r"[\t\r\x0b\f]|  "
+VARIABLE = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*"
 
 
 def masked(line: Column) -> Column:
     """The line's tokens with one space between them, variable fields as ``<*>``; empty if blank."""
-    plain = F.trim(F.regexp_replace(line, BLANKS, " "))
-    return F.regexp_replace(plain, VARIABLE, FIELD)
+    plain = F.trim(F.when(line.rlike(UNEVEN), F.regexp_replace(line, BLANKS, " ")).otherwise(line))
+    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, VARIABLE, FIELD)).otherwise(plain)
 
 
 def leaf(line: Column) -> Column:
@@ -62,8 +63,8 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", min
 
     Lines end at line feeds; blank ones are kept and never counted, and they are no part of n_lines.
     A document counts once for a template, repeated rows together count once. A null text stays
-    null, an empty one empty. Where recurring lines hold more than half of the letters of the
-    non-blank lines, the text stays as it is and left_whole is true. Columns of the three names are
+    null, an empty one empty. Where recurring lines hold more than half of the characters of
+    all lines, the text stays as it is and left_whole is true. Columns of the three names are
     replaced; all others are carried along. Every row gives one row.
     """
     # A row is known by key and text, so that repeated rows share what is found for them.
@@ -85,19 +86,18 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     drops = placed.join(recurring, "template").groupBy(F.col("row").alias("of")).agg(F.collect_set("place").alias("drops"))
 
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "left_whole")]
-    joined = docs.select(F.struct(*names).alias("kept"), F.col(text).alias("text"), row).join(
-        drops, F.col("row") == F.col("of"), "left")
-    cut = F.split("text", "\n")
-    parts = joined.select("kept", "text", cut.alias("cut"), F.coalesce("drops", F.array().cast("array<int>")).alias("drops"))
-    letters = F.transform("cut", lambda line: F.char_length(F.regexp_replace(line, r"[ \t\r\x0b\f]+", "")))
-    parts = parts.select("kept", "text", "cut", "drops", letters.alias("letters"))
-    total = F.aggregate("letters", F.lit(0), lambda s, x: s + x)
-    dropped = F.aggregate(F.transform("drops", lambda i: F.get("letters", i)), F.lit(0), lambda s, x: s + x)
+    joined = docs.select(F.struct(*names).alias("kept"), row).join(drops, F.col("row") == F.col("of"), "left")
+    whole = F.col("kept").getField(text)
+    none = F.array().cast("array<int>")
+    parts = joined.select("kept", F.split(whole, "\n").alias("cut"), F.coalesce("drops", none).alias("drops"))
+    total = F.char_length(whole) - F.size("cut") + 1
+    dropped = F.aggregate("drops", F.lit(0), lambda s, i: s + F.char_length(F.get("cut", i)))
     parts = parts.withColumn("left_whole", F.coalesce(2 * dropped > total, F.lit(False)))
     stay = F.array_except(F.sequence(F.lit(0), F.size("cut") - 1), "drops")
     shorter = F.array_join(F.transform(stay, lambda i: F.get("cut", i)), "\n")
-    result = F.when(F.col("left_whole") | (F.size("drops") == 0), F.col("text")).otherwise(shorter)
+    result = F.when(F.col("left_whole") | (F.size("drops") == 0), whole).otherwise(shorter)
+    shown = F.filter("cut", lambda line: F.trim(line, F.lit(BLANK)) != "")
     return parts.select(
         *((result if c == text else F.col("kept").getField(c)).alias(c) for c in names),
-        F.coalesce(F.size(F.filter("letters", lambda x: x > 0)), F.lit(0)).alias("n_lines"),
+        F.when(whole.isNull(), 0).otherwise(F.size(shown)).alias("n_lines"),
         F.when(F.col("left_whole"), 0).otherwise(F.size("drops")).alias("n_dropped"), "left_whole")

@@ -197,9 +197,9 @@ t AS (SELECT k.u, k.place, CASE WHEN b.masked IS NULL THEN {n: 0::BIGINT, head:
 q AS (SELECT template FROM t GROUP BY template HAVING count(DISTINCT u) >= 5),
 x AS (SELECT u, list(DISTINCT place) AS drops FROM t JOIN q USING (template) GROUP BY u),
 y AS (SELECT u.doc_id, u.text, coalesce(drops, []) AS drops, string_split(u.text, chr(10)) AS cut FROM u LEFT JOIN x USING (u)),
-z AS (SELECT *, [length(regexp_replace(c, '[ \t\r\v\f]+', '', 'g')) FOR c IN cut] AS letters FROM y),
+z AS (SELECT *, [length(c) FOR c IN cut] AS letters, [c FOR c IN cut IF regexp_replace(c, '[ \t\r\v\f]+', '', 'g') <> ''] AS shown FROM y),
 e AS (SELECT *, coalesce(2 * list_sum([letters[i] FOR i IN drops]) > list_sum(letters), false) AS whole FROM z)
-SELECT d.doc_id, coalesce(len(list_filter(letters, lambda i: i > 0)), 0)::BIGINT AS n_lines,
+SELECT d.doc_id, coalesce(len(shown), 0)::BIGINT AS n_lines,
     CASE WHEN whole THEN 0 ELSE coalesce(len(drops), 0) END::BIGINT AS n_dropped, coalesce(whole, false) AS left_whole,
     sha256(CASE WHEN whole OR len(drops) = 0 THEN e.text
            ELSE array_to_string([cut[i] FOR i IN range(1, len(cut) + 1) IF NOT list_contains(drops, i)], chr(10)) END) AS text_sha256
