@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from panel import assert_same, expected_panel, make_panel, to_spark
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidemark.operators.display import CHART, chart_series, macd_display, rsi_wilder
 from tidemark.operators.indicator import apply_indicators
@@ -64,9 +64,17 @@ def test_positions_and_sizes_of_a_cut_series(bars, panel):
         assert set(rows.n) == {SIZES[name]}
 
 
-def test_too_dense_slices_fail_loudly(bars):
-    with pytest.raises(Exception, match="narrower slices"):
-        arrange(bars, before=10, segment_rows=60, slice_minutes=1440 * 1000).rows.count()
+def test_dense_slices_are_made_narrower(spark, bars):
+    series = arrange(bars, before=10, segment_rows=60, slice_minutes=1440 * 1000)
+    assert series.cut and series.trim(series.rows).count() == bars.count()
+    ticks = spark.range(30_000).selectExpr(
+        "'T' AS company", "timestamp_ntz'2024-03-01 09:00:00' + make_dt_interval(0, 0, 0, id / 1000) AS dt", "sin(id) AS close")
+    cut = arrange(ticks, before=3)
+    assert cut.cut
+    mean = cut.trim(cut.rows.withColumn("m", F.avg("close").over(cut.w.rowsBetween(-3, 0))))
+    plain = ticks.withColumn("m", F.avg("close").over(Window.partitionBy("company").orderBy("dt").rowsBetween(-3, 0)))
+    assert cut.rows.groupBy("_segment").count().agg(F.max("count")).first()[0] <= 2 * 20_000
+    assert sorted(r.m for r in mean.collect()) == sorted(r.m for r in plain.collect())
     with pytest.raises(ValueError):
         arrange(bars, before=100, segment_rows=60)
 

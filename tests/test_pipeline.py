@@ -17,7 +17,7 @@ def stored_table(spark, tmp_path_factory):
     bars = to_spark(spark, make_panel(SIZES))
     first = F.col("company") == "AAA"
     bars_csv.write_bars_csv(bars.where(first), str(root / "csv"))
-    bars_csv.write_bars_csv(bars.where(~first), str(root / "csv"), "Price", ("close", "high", "low", "open", "volume"))
+    bars_csv.write_bars_csv(bars.where(~first), str(root / "csv"), "Price", ("close", "high", "low", "open", "volume"), "append")
     pipeline.ingest_bars(spark, str(root / "csv"), str(root / "prices"))
     day = str(bars.where(first).agg(F.max("dt")).first()[0])
     articles = [{"title": title, "publishedAt": f"{day}T0{i}:00:00Z"}

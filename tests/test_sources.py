@@ -167,3 +167,46 @@ def test_merged_table_and_profile(spark):
     assert sorted(r.daily_sentiment for r in merged.collect()) == [0.0, 0.0, 0.0, 0.5]
     rows = {r.column_name: r for r in profile.profile_table(bars, "bars", "company", approximate=True).collect()}
     assert rows["close"].row_count == 4 and rows["close"].missing == 0 and rows["dt"].distinct_keys == 1
+
+
+def test_wide_files_and_other_dates_are_read(spark, tmp_path):
+    folder = tmp_path / "wide"
+    folder.mkdir()
+    names = ["Date", *(f"Extra{i}" for i in range(18)), "Close"]
+    rows = [["12/31/2024", *["1"] * 18, '"1,000.5"'], ['"Jan 5, 2025"', *["1"] * 18, "2"], ["2025-01-06", *["1"] * 18, "1.0d"]]
+    (folder / "WIDE.csv").write_text("\n".join(",".join(r) for r in [names, *rows]) + "\n")
+    (folder / "THREE.csv").write_text("Price,Close,Open\nTicker,THREE,THREE\nDate,,\n2025-01-07,3,4\n")
+    got = sorted((r.company, str(r.dt), r.close) for r in bars_csv.read_bars_csv(spark, str(folder)).collect())
+    assert got == [("THREE", "2025-01-07", 3.0), ("WIDE", "2024-12-31", 1000.5), ("WIDE", "2025-01-05", 2.0)]
+    (folder / "BAD.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(Exception, match="no header with a date and a close"):
+        bars_csv.read_bars_csv(spark, str(folder)).collect()
+
+
+def test_writing_twice_replaces_and_files_are_bounded(spark, tmp_path):
+    bars = spark.range(3000).selectExpr(
+        "concat('T', id % 3) AS company", "date_add(DATE'2022-01-01', cast(id div 3 as int)) AS dt", "1.0D AS open", "1.0D AS high",
+        "1.0D AS low", "1.0D AS close", "1.0D AS volume").repartition(8)
+    for _ in range(2):
+        bars_csv.write_bars_csv(bars, str(tmp_path / "out"))
+    assert bars_csv.read_bars_csv(spark, str(tmp_path / "out")).count() == 3000
+    assert all(len(list(d.glob("*.csv"))) <= 3 for d in (tmp_path / "out").glob("file=*"))
+
+
+def test_article_times_do_not_depend_on_the_session_zone(spark):
+    rows = spark.createDataFrame([("A", [("t", "2024-03-10T02:30:00Z", "en"), ("u", "2024-11-03T01:30:00-05:00", "en"), ("v", None, "en")])],
+                                 "ticker string, articles array<struct<title: string, publishedAt: string, language: string>>")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = {r.title: str(r.published_at) for r in tables.flatten_articles(rows).collect()}
+            assert got == {"t": "2024-03-10 02:30:00", "u": "2024-11-03 06:30:00", "v": "None"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_one_field_is_named_like_many(spark):
+    bars = spark.createDataFrame([("A_Close", "2024-01-01", 1.0, 2.0), ("B", "2024-01-01", 3.0, 4.0)], "company string, dt string, open double, close double")
+    assert reshape.to_wide(bars, fields=["close"]).columns == ["dt", "A_Close|Close", "B|Close"]
+    assert reshape.to_wide(bars, fields=["open", "close"]).columns == ["dt", "A_Close|Open", "A_Close|Close", "B|Open", "B|Close"]

@@ -171,26 +171,31 @@ def training_rows(spark, sizes):
     return splits.by_position(df).cache()
 
 
-def test_newton_weights_are_optimal():
-    rng = np.random.default_rng(0)
-    x, y = rng.normal(0, 1, (200, 3)), rng.integers(0, 2, 200)
-    w = models.fit_logistic_weights(x, y)
-    p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
-    gradient = np.append(x.T @ (p - y) + w[:-1], (p - y).sum())
-    assert np.abs(gradient).max() < 1e-8
-
-
-def test_long_companies_get_the_same_model_from_spark_ml(spark):
+def test_weights_are_optimal_for_short_and_long_companies(spark):
+    split = training_rows(spark, {"A": 4000, "B": 80}).withColumnRenamed("Target", "label").where("is_train")
+    rows = split.toPandas()
+    weights = {r.company: np.array(r.weights) for r in models.logistic_weights(split, ["u", "v"]).collect()}
+    assert set(weights) == {"A", "B"}
+    for name, w in weights.items():
+        one = rows[rows.company == name]
+        x, y = one[["u", "v"]].to_numpy(), one.label.to_numpy()
+        p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+        gradient = np.append(x.T @ (p - y) + w[:-1], (p - y).sum())
+        assert np.abs(gradient).max() < 1e-7
+    # A company's weights do not depend on the others, nor on how its rows are dealt.
+    alone = models.logistic_weights(split.where("company = 'B'").repartition(7), ["u", "v"]).first()
+    np.testing.assert_allclose(alone.weights, weights["B"], atol=1e-9)
+    with pytest.raises(RuntimeError, match="no convergence"):
+        models.logistic_weights(split, ["u", "v"], steps=1)
+
+
+def test_scores_of_companies(spark):
     split = training_rows(spark, {"A": 400, "B": 80})
-    inside = models.logistic_per_company(split, ["u", "v"]).toPandas()
-    outside = models.logistic_per_company(split, ["u", "v"], rows_per_task=100).toPandas()
-    keys = ["company", "dt"]
-    both = inside.merge(outside, on=keys, suffixes=("", "_ml"))
-    assert len(both) == len(inside) == 80 + 16 + 2
-    np.testing.assert_allclose(both.prob, both.prob_ml, atol=1e-5)
-    assert set(inside[inside.company == "ONE CLASS"].prob) == {1.0}
+    scored = models.logistic_per_company(split, ["u", "v"]).toPandas()
+    assert len(scored) == 80 + 16 + 2
+    assert set(scored[scored.company == "ONE CLASS"].prob) == {1.0}
     table = metrics.probability_experiment_table(
-        spark.createDataFrame(inside.assign(model="Logistic"))).toPandas()
+        spark.createDataFrame(scored.assign(model="Logistic"))).toPandas()
     assert table.columns.tolist() == ["Company", "Model", "DA (%)", "MAE", "RMSE"]
     assert table.set_index("Company")["DA (%)"]["A"] > 70
 
@@ -210,3 +215,21 @@ def test_sequence_models_and_saved_model(spark, bars, tmp_path):
     latest = models.score_latest(table, path).collect()
     assert {r.company for r in latest} == {"A", "B"} and {r.trend for r in latest} <= {"UP", "DOWN"}
     assert {r.dt for r in latest} == {r.dt for r in windows.newest_row(table).collect()}
+    short = table.withColumn("MA_20", F.when(F.col("company") == "A", F.col("MA_20")))
+    assert {r.company: r.trend is None for r in models.score_latest(short, path).collect()} == {"A": False, "B": True}
+
+
+def test_date_quantile_of_times(spark):
+    times = [dt.datetime(2024, 1, 1, hour) for hour in range(10)] + [dt.datetime(2024, 1, 2, hour) for hour in range(3)]
+    rows = spark.createDataFrame([(t,) for t in times], "dt timestamp_ntz")
+    numbers = np.array([t.timestamp() for t in times])
+    for share in (0.0, 0.3, 0.76, 0.8, 1.0):
+        kept = {r.dt for r in splits.by_date_quantile(rows, share).where("is_train").collect()}
+        assert kept == {t for t, n in zip(times, numbers) if n <= np.quantile(numbers, share)}
+
+
+def test_rows_without_a_key_are_scaled_too(spark):
+    rows = spark.createDataFrame([("A", dt.date(2024, 1, 1), 1.0), (None, dt.date(2024, 1, 1), 2.0), (None, None, 4.0), ("A", None, 3.0)],
+                                 "company string, dt date, y double")
+    scaled = scaling.min_max(rows, ["y"], F.lit(True), ["company"]).collect()
+    assert sorted(r.y for r in scaled) == [0.0, 0.0, 1.0, 1.0]

@@ -13,91 +13,91 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.scaling import min_max, undo_min_max
 from tidemark.operators.windows import newest_row
+from tidemark.plans.staging import stored
 
 # The functions below travel to the executors with the job; the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Columns the next-day model looks at.
+# The columns the next-day model looks at.
 LATEST_FEATURES = ("open", "high", "low", "close", "volume", "MA_10", "MA_20")
 
-# A company with more training rows than this is fitted by Spark ML instead of inside one task.
-ROWS_PER_TASK = 2_000_000
+# Newton steps before a fit counts as failed, and the largest slope of the objective where it has converged.
+LOGISTIC_STEPS, LOGISTIC_SLOPE = 50, 1e-8
 
 
-def fit_logistic_weights(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 50) -> np.ndarray:
-    """Weights (intercept last, not penalised) minimising log loss + penalty * |w|^2 / 2 by Newton."""
-    design = np.column_stack([x, np.ones(len(x))])
-    ridge = np.append(np.full(x.shape[1], penalty), 0.0)
-    w = np.zeros(design.shape[1])
+def logistic_weights(train: DataFrame, features: Sequence[str], label: str = "label", penalty: float = 1.0,
+                     steps: int = LOGISTIC_STEPS, slope: float = LOGISTIC_SLOPE) -> DataFrame:
+    """company, weights (intercept last, not penalised) and slope: the minimum of log loss + penalty * |w|^2 / 2
+    for every company at once, by Newton's method.
+
+    A step is one aggregation: the sums of slope and curvature over a company's rows, combined
+    before the shuffle, whatever its length; then a small equation per company. A company whose rows
+    are all of one class has no minimum and is left out. A company that does not converge within
+    ``steps`` fails the job.
+    """
+    size = len(features) + 1
+    x = [*(F.col(name).cast("double") for name in features), F.lit(1.0)]
+    both = train.groupBy("company").agg(F.min(label).alias("low"), F.max(label).alias("high")).where("low < high")
+    start = F.array(*[F.lit(0.0)] * size)
+    weights = stored(both.select("company", start.alias("weights"), F.lit(float("inf")).alias("slope")), "weights")
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+
+    def moved(tables):
+        for table in tables:
+            out = []
+            for row in table.itertuples(index=False):
+                w, held = np.array(row.weights), np.append(np.full(size - 1, penalty), 0.0)
+                gradient = np.array(row.gradient) + held * w
+                curvature = np.zeros((size, size))
+                for (i, j), value in zip(pairs, row.curvature):
+                    curvature[i, j] = curvature[j, i] = value
+                w = w - np.linalg.lstsq(curvature + np.diag(held), gradient, rcond=None)[0]
+                out.append((row.company, w.tolist(), float(np.abs(gradient).max())))
+            yield pd.DataFrame(out, columns=["company", "weights", "slope"])
+
     for _ in range(steps):
-        p = 1.0 / (1.0 + np.exp(-design @ w))
-        gradient = design.T @ (p - y) + ridge * w
-        curvature = (design * (p * (1 - p))[:, None]).T @ design + np.diag(ridge)
-        step = np.linalg.lstsq(curvature, gradient, rcond=None)[0]
-        w -= step
-        if np.abs(step).max() < 1e-10:
-            break
-    return w
-
-
-def _fit_and_score(features: Sequence[str]):
-    """Fit on one company's training rows and return its scored test rows."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        train, test = rows[rows["is_train"]], rows[~rows["is_train"]]
-        # A single class leaves nothing to fit: its share is the prediction.
-        if train["label"].nunique() < 2:
-            probability = np.full(len(test), float(train["label"].iloc[0]) if len(train) else np.nan)
-        else:
-            names = list(features)
-            w = fit_logistic_weights(train[names].to_numpy(float), train["label"].to_numpy(float))
-            probability = 1.0 / (1.0 + np.exp(-(test[names].to_numpy(float) @ w[:-1] + w[-1])))
-        return pd.DataFrame({
-            "company": test["company"], "dt": test["dt"], "label": test["label"],
-            "prob": probability, "prediction": (probability > 0.5).astype("int32"),
-        })
-    return run
-
-
-def logistic_per_company(split: DataFrame, features: Sequence[str], label: str = "Target",
-                         rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+        rows = train.join(weights, "company").withColumn("p", 1 / (1 + F.exp(-_dot(x))))
+        error, curve = F.col("p") - F.col(label), F.col("p") * (1 - F.col("p"))
+        sums = rows.groupBy("company").agg(
+            F.any_value("weights").alias("weights"), F.array(*(F.sum(error * c) for c in x)).alias("gradient"),
+            F.array(*(F.sum(curve * x[i] * x[j]) for i, j in pairs)).alias("curvature"))
+        # The slope is the one before the step, so the weights returned are a step better than it says.
+        weights = stored(sums.mapInPandas(moved, "company STRING, weights ARRAY<DOUBLE>, slope DOUBLE"), "weights")
+        if (weights.agg(F.max("slope")).first()[0] or 0.0) < slope:
+            return weights
+    failed = [row["company"] for row in weights.where(F.col("slope") >= slope).select("company").limit(5).collect()]
+    raise RuntimeError(f"no convergence within {steps} steps, for example: {failed}")
+
+
+def _dot(x: Sequence[Column]) -> Column:
+    """Product of the row's inputs and its company's weights."""
+    total = F.get("weights", F.lit(0)) * x[0]
+    for at, value in enumerate(x[1:], 1):
+        total = total + F.get("weights", F.lit(at)) * value
+    return total
+
+
+def logistic_per_company(split: DataFrame, features: Sequence[str], label: str = "Target") -> DataFrame:
     """Test rows scored by a logistic regression fitted on each company's training rows.
 
-    ``split`` has ``is_train``. Features are scaled to 0-1 on the training rows. The many short
-    series are fitted in parallel, one per group; the few longer than ``rows_per_task`` each go
-    to Spark ML, which never gathers them in one task. Both minimise the same objective.
+    ``split`` has ``is_train``. Features are scaled to 0-1 on the training rows. A company whose
+    training rows are all of one class is given that class; one without training rows gets NaN.
     """
     scaled = min_max(split, features, F.col("is_train"), by=["company"])
-    narrow = scaled.select("company", "dt", "is_train", F.col(label).cast("int").alias("label"), *features)
-    long = split.groupBy("company").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if("is_train").alias("train_rows")
-    ).where(F.col("rows") > rows_per_task).collect()
-    schema = "company STRING, dt DATE, label INT, prob DOUBLE, prediction INT"
-    short = narrow.where(~F.col("company").isin([row["company"] for row in long])) if long else narrow
-    result = short.groupBy("company").applyInPandas(_fit_and_score(features), schema)
-    for row in long:
-        one = narrow.where(F.col("company") == row["company"])
-        result = result.unionByName(_score_long_company(one, features, row["train_rows"]))
-    return result
-
-
-def _score_long_company(rows: DataFrame, features: Sequence[str], train_rows: int) -> DataFrame:
-    model = logistic_pipeline(features, train_rows).fit(rows.where("is_train"))
-    return model.transform(rows.where("NOT is_train")).select(
-        "company", "dt", "label", vector_to_array("probability")[1].alias("prob"),
-        F.col("prediction").cast("int").alias("prediction"))
-
-
-def logistic_pipeline(features: Sequence[str], train_rows: int, label: str = "label") -> Pipeline:
-    """Spark ML pipeline with the same objective: mean loss, so the penalty is divided by the rows."""
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="features"),
-        LogisticRegression(labelCol=label, maxIter=1000, tol=1e-9, regParam=1.0 / max(train_rows, 1),
-                           elasticNetParam=0.0, standardization=False),
-    ])
+    rows = stored(scaled.select("company", "dt", "is_train", F.col(label).cast("int").alias("label"), *features), "scaled")
+    train = rows.where("is_train")
+    weights = logistic_weights(train, features)
+    share = train.groupBy("company").agg(F.avg("label").alias("share"))
+    scored = rows.where("NOT is_train").join(share, "company", "left").join(weights, "company", "left")
+    x = [*(F.col(name).cast("double") for name in features), F.lit(1.0)]
+    probability = F.when(F.col("weights").isNotNull(), 1 / (1 + F.exp(-_dot(x)))).otherwise(
+        F.coalesce("share", F.lit(float("nan"))))
+    scored = scored.select("company", "dt", "label", probability.alias("prob"))
+    return scored.withColumn("prediction", ((F.col("prob") > 0.5) & ~F.isnan("prob")).cast("int"))
 
 
 def flat_vectors(sequences: DataFrame) -> DataFrame:
@@ -143,8 +143,13 @@ def train_next_day_model(labelled: DataFrame, path: str, features: Sequence[str]
 
 
 def score_latest(bars: DataFrame, path: str) -> DataFrame:
-    """UP or DOWN for the newest row of each company, by a saved model."""
+    """UP or DOWN for the newest row of each company, by a saved model; NULL where that row lacks an input."""
     model = PipelineModel.load(path)
+    assembler = model.stages[0]
+    assembler.setHandleInvalid("keep")
+    complete = F.lit(True)
+    for name in assembler.getInputCols():
+        complete &= F.col(name).isNotNull() & ~F.isnan(name)
     scored = model.transform(newest_row(bars))
-    return scored.select(
-        "company", "dt", F.when(F.col("prediction") == 1, "UP").otherwise("DOWN").alias("trend"))
+    trend = F.when(F.col("prediction") == 1, "UP").otherwise("DOWN")
+    return scored.select("company", "dt", F.when(complete, trend).alias("trend"))

@@ -113,8 +113,8 @@ def _name_pieces(companies: DataFrame, ticker: str, name: str) -> DataFrame:
 
 
 def daily_sentiment(scored: DataFrame, company: str = "company", time: str = "published_at") -> DataFrame:
-    """Mean sentiment per company and day."""
+    """Mean sentiment per company and day; articles without a time are left out."""
     return (
-        scored.groupBy(F.col(company).alias("company"), F.to_date(time).alias("dt"))
+        scored.where(F.col(time).isNotNull()).groupBy(F.col(company).alias("company"), F.to_date(time).alias("dt"))
         .agg(F.avg("sentiment").alias("sentiment"))
     )

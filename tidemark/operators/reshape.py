@@ -24,12 +24,15 @@ def to_wide(bars: DataFrame, tickers: Sequence[str] | None = None,
     Naming the tickers also saves the extra job that finds them; without names Spark refuses
     more than ``spark.sql.pivotMaxValues`` of them.
     """
-    cells = [F.first(name, ignorenulls=True).alias(name.capitalize()) for name in fields]
+    # Spark joins ticker and field by "_", and leaves the field out where there is one only.
+    cells = [F.first(name, ignorenulls=True).alias(SEPARATOR + name.capitalize()) for name in fields]
     wide = bars.groupBy(order).pivot("company", list(tickers) if tickers is not None else None).agg(*cells)
-    suffixes = {f"_{name.capitalize()}": f"{SEPARATOR}{name.capitalize()}" for name in fields}
-    titles = [next((name[: -len(old)] + new for old, new in suffixes.items() if name.endswith(old)), name)
-              for name in wide.columns]
-    return wide.toDF(*titles)
+    titles = wide.columns[1:]
+    if len(cells) == 1:
+        titles = [f"{ticker}{SEPARATOR}{fields[0].capitalize()}" for ticker in titles]
+    else:
+        titles = [SEPARATOR.join(title.rsplit("_" + SEPARATOR, 1)) for title in titles]
+    return wide.toDF(order, *titles)
 
 
 def to_long(wide: DataFrame, fields: Sequence[str] = NUMERIC) -> DataFrame:

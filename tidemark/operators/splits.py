@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.plans.series import Series, over_series
 
@@ -46,10 +46,28 @@ def seen_by_sequences(df: DataFrame, lookback: int, share: float = TRAIN_SHARE,
 
 
 def by_date_quantile(df: DataFrame, share: float = TRAIN_SHARE, order: str = "dt") -> DataFrame:
-    """Adds ``is_train``: the day is not after the interpolated ``share`` quantile of all days.
+    """Adds ``is_train``: the day or time is not after the interpolated ``share`` quantile of all.
 
-    The exact quantile keeps one counter per distinct day, of which there are few.
+    The exact quantile keeps one counter per distinct value. Of days there are few; times, of which
+    there may be very many, are first narrowed down to the days that hold the two ranks around it.
     """
-    day = F.unix_date(F.col(order).cast("date"))
-    limit = df.agg(F.percentile(day, share)).scalar()
-    return df.withColumn("is_train", day <= limit)
+    if isinstance(df.schema[order].dataType, T.DateType):
+        day = F.unix_date(order)
+        return df.withColumn("is_train", day <= df.agg(F.percentile(day, share)).scalar())
+    start = F.lit("1970-01-01").cast(df.schema[order].dataType)
+    at = F.timestamp_diff("MICROSECOND", start, F.col(order))
+    day = F.floor(at / 86_400_000_000)
+    counts = {row["day"]: row["n"] for row in df.where(F.col(order).isNotNull()).groupBy(day.alias("day")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return df.withColumn("is_train", F.lit(None).cast("boolean"))
+    rank, before, days = share * (sum(counts.values()) - 1), 0, []
+    for number in sorted(counts):
+        if before <= rank + 1 and before + counts[number] > int(rank):
+            days.append((number, before))
+        before += counts[number]
+    # The quantile over all is the quantile at the rank that is left inside these days.
+    inside = sum(counts[number] for number, _ in days) - 1
+    left = (rank - days[0][1]) / inside if inside else 0.0
+    near = df.where(day.isin([number for number, _ in days]))
+    return df.withColumn("is_train", at <= near.agg(F.percentile(at, left)).scalar())

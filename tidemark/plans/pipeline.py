@@ -7,13 +7,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators.clean import clean_bars, require_unique
 from tidemark.operators.news import daily_sentiment, default_lexicon, newest_articles, score_text
 from tidemark.plans.features import feature_table
+from tidemark.plans.staging import stored
 from tidemark.sources.bars_csv import read_bars_csv
 from tidemark.sources.tables import read_articles, read_optional, read_table, write_table
 
 
 def ingest_bars(spark: SparkSession, csv_folder: str, prices_path: str) -> None:
-    """CSV files of every layout to one Parquet table of bars; duplicate days fail."""
-    write_table(require_unique(read_bars_csv(spark, csv_folder)), prices_path, by_range=True)
+    """CSV files of every layout to one Parquet table of bars; duplicate days fail.
+
+    The parsed bars are stored once: the check and the sampling of ranges then read that table.
+    """
+    bars = stored(read_bars_csv(spark, csv_folder), "parsed_bars")
+    write_table(require_unique(bars), prices_path, by_range=True)
 
 
 def ingest_news(spark: SparkSession, json_path: str, sentiment_path: str,

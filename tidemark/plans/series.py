@@ -19,7 +19,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window, WindowSpec
@@ -77,16 +78,25 @@ def arrange(df: DataFrame, keys: str | Sequence[str] = "company", order: str = "
             slice_minutes: int | None = None) -> Series:
     """Prepare ``df`` for windows that look ``before`` rows back and ``after`` rows ahead.
 
-    (keys, order) must identify a row. ``slice_minutes`` is the width of a time slice; the
-    default of 32 days for dates and one day for timestamps keeps a slice of daily, hourly or
-    minute bars well below a segment.
+    (keys, order) must identify a row. ``slice_minutes`` is the width of a time slice, 32 days for
+    dates and one day for timestamps by default. Where a slice of a long key holds more rows than
+    fit into a segment, slices are made narrower until none does, down to single microseconds.
     """
     keys = (keys,) if isinstance(keys, str) else tuple(keys)
     long_keys = df.groupBy(*keys).count().where(F.col("count") > segment_rows)
     if long_keys.isEmpty():
         return Series(df, keys, order, cut=False)
 
-    sliced = df.withColumn(_SLICE, time_slice(df, order, slice_minutes))
+    limit = segment_rows - max(before, after)
+    if limit <= 0:
+        raise ValueError("segment_rows must be larger than the rows looked back or ahead")
+    width = _width(df, order, slice_minutes)
+    while True:
+        sliced = df.withColumn(_SLICE, _slice_of(df, order, width))
+        most = sliced.where(F.col(order).isNotNull()).groupBy(*keys, _SLICE).count().agg(F.max("count")).first()[0]
+        if most is None or most <= limit or width == 1:
+            break
+        width = max(1, int(width * limit / most) // 2)
     spark = df.sparkSession
     path = scratch_folder(spark, "slices")
     _slice_table(sliced, keys, before, after, segment_rows).write.parquet(path)
@@ -105,8 +115,19 @@ def arrange(df: DataFrame, keys: str | Sequence[str] = "company", order: str = "
 
 def time_slice(df: DataFrame, order: str, slice_minutes: int | None = None) -> Column:
     """Number of the time slice a row falls into: 32 days for dates, one day for timestamps."""
+    return _slice_of(df, order, _width(df, order, slice_minutes))
+
+
+def _width(df: DataFrame, order: str, slice_minutes: int | None) -> int:
+    """Width of a slice in microseconds."""
     is_date = isinstance(df.schema[order].dataType, T.DateType)
-    return F.floor(_minutes(df, order) / (slice_minutes or (32 * 1440 if is_date else 1440)))
+    return (slice_minutes or (32 * 1440 if is_date else 1440)) * 60_000_000
+
+
+def _slice_of(df: DataFrame, order: str, width: int) -> Column:
+    # Whole division: the quotient of two large numbers as floating point would mix up neighbours.
+    micros = _micros(df, order)
+    return ((micros - F.pmod(micros, F.lit(width))) / width).cast("long")
 
 
 def with_key_facts(df: DataFrame, keys: Sequence[str], order: str, per_slice: Sequence[Column],
@@ -118,38 +139,36 @@ def with_key_facts(df: DataFrame, keys: Sequence[str], order: str, per_slice: Se
     table, and joined back by (key, time slice), of which none is large. ``per_slice`` are the
     aggregates of a slice and ``per_key`` the window expressions that combine them.
     """
-    keys = list(keys)
+    keys = [*keys, _SLICE]
     sliced = df.withColumn(_SLICE, time_slice(df, order))
-    by_key = Window.partitionBy(*keys)
-    slices = sliced.groupBy(*keys, _SLICE).agg(*per_slice)
-    facts = slices.select(*keys, _SLICE, *(combine(by_key).alias(n) for n, combine in per_key.items()))
-    return sliced.join(facts, [*keys, _SLICE]).drop(_SLICE)
+    by_key = Window.partitionBy(*keys[:-1])
+    slices = sliced.groupBy(*keys).agg(*per_slice)
+    facts = slices.select(*(F.col(k).alias(f"_of_{k}") for k in keys), *(combine(by_key).alias(n) for n, combine in per_key.items()))
+    # Rows whose key or time is NULL belong together and keep their place.
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
+    return sliced.join(facts, same).drop(_SLICE, *(f"_of_{k}" for k in keys))
 
 
-def _minutes(df: DataFrame, order: str) -> Column:
-    """Whole minutes since the epoch, growing with ``order`` in every time zone."""
+def _micros(df: DataFrame, order: str) -> Column:
+    """Microseconds since the epoch, growing with ``order`` in every time zone."""
     kind, value = df.schema[order].dataType, F.col(order)
     if isinstance(kind, T.TimestampType):
-        return F.floor(F.unix_micros(value) / 60_000_000)
-    day = F.unix_date(value.cast("date")) * 1440
+        return F.unix_micros(value)
     if isinstance(kind, T.DateType):
-        return day
-    return day + F.hour(value) * 60 + F.minute(value)
+        return F.unix_date(value).cast("long") * 86_400_000_000
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), value.cast("timestamp_ntz"))
 
 
 def _slice_table(sliced: DataFrame, keys: tuple[str, ...], before: int, after: int,
                  segment_rows: int) -> DataFrame:
     """For each slice of a long key: its own segment, all segments that need its rows, and the
     number of rows of the key before it."""
-    limit = segment_rows - max(before, after)
-    if limit <= 0:
-        raise ValueError("segment_rows must be larger than the rows looked back or ahead")
     by_key = Window.partitionBy(*keys)
     running = by_key.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, 0)
     own = Window.partitionBy(*keys, _OWN)
     too_dense = F.raise_error(F.concat(
-        F.lit("a time slice holds more rows than fit into a segment; pass narrower slices than "),
-        F.lit("the present ones with slice_minutes; rows in the slice: "), F.col("count").cast("string")))
+        F.lit("more rows of one key at one time than fit into a segment; (keys, order) must identify a row. Rows: "),
+        F.col("count").cast("string")))
     start, end = F.min(_ROWS_BEFORE).over(own), F.max("_rows_after").over(own)
     needed = F.array(
         F.col(_OWN),
@@ -162,7 +181,7 @@ def _slice_table(sliced: DataFrame, keys: tuple[str, ...], before: int, after: i
         .withColumns({"_rows_after": F.sum("count").over(running),
                       _ROWS_TOTAL: F.sum("count").over(by_key)})
         .where(F.col(_ROWS_TOTAL) > segment_rows)
-        .withColumn("count", F.when(F.col("count") > limit, too_dense.cast("long")).otherwise(F.col("count")))
+        .withColumn("count", F.when(F.col("count") > segment_rows - max(before, after), too_dense.cast("long")).otherwise(F.col("count")))
         .withColumn(_ROWS_BEFORE, F.col("_rows_after") - F.col("count"))
         .withColumn(_OWN, F.floor(F.col(_ROWS_BEFORE) / segment_rows))
         .withColumn(_TARGETS, F.array_compact(needed))

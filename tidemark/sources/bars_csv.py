@@ -4,8 +4,9 @@ Files in one folder differ in their header: a plain ``Date,Open,High,Low,Close,V
 three-row header whose first column is called ``Price`` and whose next two rows repeat the
 ticker and hold a lone ``Date``. Column order differs too, and Spark maps CSV columns by
 position when one read covers several headers. So the cells are read by position, without
-header and without inference (one pass over the data), each file's own header line says where
-its fields are, and the fields are then taken by name.
+header and without inference, each file's own header line, looked for at the beginning of the file, says where
+its fields are, and the fields are then taken by name. There are as many cells as the widest header
+has names.
 """
 
 from __future__ import annotations
@@ -15,14 +16,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.cleaning import to_day, to_number
+from tidemark.plans.staging import stored
 
 # Names a date column goes by, and the fields of a bar.
 DATE_NAMES = ("date", "price", "timestamp", "datetime")
 FIELDS = ("open", "high", "low", "close", "volume")
 
-# Files up to this number have their header places broadcast; more are joined by a shuffle.
-BROADCAST_FILES = 50_000
-
 # ``.../SNDK.csv``, ``.../SNDK.csv/part-0.csv`` and ``.../file=SNDK.csv/part-0.csv`` all give SNDK.
 # Other files in a folder named ``x.csv`` go by their own names.
 TICKER_IN_PATH = r"([^/=]+)\.csv(?:/part-[^/]*)?$"
@@ -34,25 +33,30 @@ def ticker_from_path(path: Column | None = None) -> Column:
     return F.url_decode(F.regexp_extract(path, TICKER_IN_PATH, 1))
 
 
-def read_bars_csv(spark: SparkSession, folder: str, columns: Sequence[str] | None = None,
-                  max_columns: int = 16) -> DataFrame:
+def read_bars_csv(spark: SparkSession, folder: str, columns: Sequence[str] | None = None) -> DataFrame:
     """All CSV files under ``folder`` as canonical bars; rows without a date or close are dropped.
 
-    Finding the header lines costs a second scan. ``columns``, the names in file order, saves it
-    where all files are known to agree.
+    Reading the header lines costs a scan of the lines as text. ``columns``, the names in file order,
+    saves it where all files are known to agree. A file with rows but without a header that names a
+    date and a close fails the job.
     """
-    schema = ", ".join(f"c{i} STRING" for i in range(max_columns))
+    if columns is None:
+        places = stored(_field_places(spark, folder), "headers")
+        width = places.agg(F.max("width")).first()[0] or 1
+    else:
+        width = len(columns)
+    schema = ", ".join(f"c{i} STRING" for i in range(width))
     raw = (
         spark.read.schema(schema).option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv").csv(folder)
     )
-    lines = raw.select(F.array(*(f"c{i}" for i in range(max_columns))).alias("cells"),
+    lines = raw.select(F.array(*(f"c{i}" for i in range(width))).alias("cells"),
                        F.col("_metadata.file_path").alias("path"))
     if columns is None:
-        places = _field_places(lines)
-        # One row per file; the driver holds the list of files anyway, so its length is known.
-        few = len(raw.inputFiles()) <= BROADCAST_FILES
-        rows = lines.join(F.broadcast(places) if few else places, "path")
+        # One short row per file, from a table whose size Catalyst knows.
+        rows = lines.join(places, "path", "left")
+        unknown = F.raise_error(F.concat(F.lit("no header with a date and a close in "), F.col("path"))).cast("boolean")
+        rows = rows.where(F.when(F.col("width").isNull(), unknown).otherwise(True))
     else:
         names = F.array(*(F.lit(name.strip().lower()) for name in columns))
         rows = lines.withColumns(_places(names))
@@ -75,24 +79,31 @@ def _places(names: Column) -> dict[str, Column]:
     return places
 
 
-def _field_places(lines: DataFrame) -> DataFrame:
-    """The places of the fields in each file's header line."""
-    names = F.transform("cells", lambda cell: F.lower(F.trim(cell)))
+def _field_places(spark: SparkSession, folder: str) -> DataFrame:
+    """The places of the fields in each file's header line, and its number of names."""
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(folder)
+    cells = F.transform(F.split("value", ","), lambda cell: F.lower(F.trim(F.trim(cell), F.lit('"'))))
     known_dates = F.array(*map(F.lit, DATE_NAMES))
     headers = (
-        lines.select("path", names.alias("names"))
+        text.where((F.col("_metadata.file_block_start") == 0) & F.lower("value").contains("close"))
+        .select(F.col("_metadata.file_path").alias("path"), cells.alias("names"))
         .where(F.array_contains("names", "close") & F.arrays_overlap("names", known_dates))
     )
     places = _places(F.col("names"))
-    return headers.groupBy("path").agg(*(F.max(place).alias(name) for name, place in places.items()))
+    return headers.groupBy("path").agg(
+        F.max(F.size("names")).alias("width"), *(F.max(place).alias(name) for name, place in places.items()))
 
 
 def write_bars_csv(bars: DataFrame, folder: str, date_name: str = "Date",
-                   fields: tuple[str, ...] = FIELDS) -> None:
-    """Write one CSV dataset folder per ticker, with the given column order."""
+                   fields: tuple[str, ...] = FIELDS, mode: str = "overwrite") -> None:
+    """Write one CSV dataset folder per ticker, with the given column order, replacing ``folder``.
+
+    A ticker's rows are dealt by year, so it has a file per year at most and no ticker is one task.
+    """
     names = {name: name.capitalize() for name in fields}
     (
-        bars.select(F.concat(F.col("company"), F.lit(".csv")).alias("file"),
-                    F.col("dt").alias(date_name), *(F.col(n).alias(title) for n, title in names.items()))
-        .write.mode("append").partitionBy("file").option("header", True).csv(folder)
+        bars.repartition("company", F.year("dt"))
+        .select(F.concat(F.col("company"), F.lit(".csv")).alias("file"),
+                F.col("dt").alias(date_name), *(F.col(n).alias(title) for n, title in names.items()))
+        .write.mode(mode).partitionBy("file").option("header", True).csv(folder)
     )

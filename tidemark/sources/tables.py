@@ -57,10 +57,12 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
 def flatten_articles(responses: DataFrame) -> DataFrame:
     """One row per article; times are UTC whatever the session's time zone is."""
     article = responses.select("ticker", F.explode("articles").alias("article"))
-    instant = F.col("article.publishedAt").try_cast("timestamp")
+    # Counted from the epoch: no local time, which some hours lack and others have twice, is gone through.
+    seconds = F.unix_micros(F.col("article.publishedAt").try_cast("timestamp")).cast("decimal(20,0)") / 1_000_000
+    utc = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
     return article.select(
         "ticker",
-        F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz").alias("published_at"),
+        utc.alias("published_at"),
         F.col("article.title").alias("title"),
         F.col("article.language").alias("lang"),
     )

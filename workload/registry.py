@@ -252,7 +252,7 @@ def scan_csv_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = views.bars(spark, sf_dir)
     other = F.col("company").isin("2-HIGH", "4-NOT SPECIFIED")
     bars_csv.write_bars_csv(bars.where(other), folder)
-    bars_csv.write_bars_csv(bars.where(~other), folder, "Price", ("close", "high", "low", "open", "volume"))
+    bars_csv.write_bars_csv(bars.where(~other), folder, "Price", ("close", "high", "low", "open", "volume"), "append")
     return bars_csv.read_bars_csv(spark, folder)
 
 
