@@ -121,6 +121,8 @@ _MA = [rnd(strict("AVG", "close", n), 4, f"MA_{n}") for n in (10, 20, 50)]
 _oracles["moving_averages"] = select(BARS, _MA)
 _oracles["moving_averages_cut"] = _oracles["moving_averages"]
 
+_oracles["ticks_cut"] = select(BARS_HOUR.replace("DATE_TRUNC('hour', ts)", "ts"), _MA)
+
 _oracles["ema"] = with_(f"{BARS}, {MACD_PARTS}", f"""SELECT company, dt, {rnd('ema_12', 2, 'EMA_12')},
 {rnd('ema_26', 2, 'EMA_26')} FROM macds""")
 _MACD = [rnd("macd", 2, "MACD"), rnd("signal", 2, "MACD_Signal"), rnd("hist", 2, "MACD_Hist")]
@@ -472,5 +474,17 @@ _oracles["feature_importance"] = with_(_IMPORTANCE, f"""SELECT feature, {rnd('sc
 CAST(ROW_NUMBER() OVER (ORDER BY score DESC, feature) <= 3 AS INTEGER) AS selected FROM scores""")
 
 
+_oracles["score_latest_rows"] = with_(BARS, "SELECT company, MAX(dt) AS dt, 1 AS scored FROM bars GROUP BY company")
+
+_oracles["logistic_optimality"] = with_(f"""{BARS},
+returned AS (SELECT company, dt, close / {lag('close')} - 1 AS ret FROM bars),
+kept AS (SELECT * FROM returned WHERE ret IS NOT NULL),
+ahead AS (SELECT company, dt, LEAD(ret, 5) OVER (PARTITION BY company ORDER BY dt) AS future FROM kept),
+placed AS (SELECT company, future, ROW_NUMBER() OVER (PARTITION BY company ORDER BY dt) AS position,
+           COUNT(*) OVER (PARTITION BY company) AS n FROM ahead WHERE future IS NOT NULL)""",
+    """SELECT company, COUNT(*) AS train_rows, SUM(CASE WHEN future > 0 THEN 1 ELSE 0 END)::BIGINT AS rises, 1 AS optimal
+FROM placed WHERE position <= FLOOR(n * CAST(0.8 AS DOUBLE)) GROUP BY company""")
+
+
 def all_oracles() -> dict[str, str]:
     return dict(_oracles)

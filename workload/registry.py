@@ -105,6 +105,12 @@ def macd_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _series(df, {name: DIGITS[name] for name in technical.macd.outputs})
 
 
+@query
+def ticks_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moving averages at the events' own times, with days too dense for a segment."""
+    return _series(technical.moving_averages(views.bars_tick(spark, sf_dir), segment_rows=100), {n: DIGITS[n] for n in ("MA_10", "MA_20", "MA_50")})
+
+
 @query
 def hourly_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several indicators of hourly bars in one pass, cut into segments."""
@@ -562,3 +568,25 @@ def score_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "next_day_model")
     models.train_next_day_model(labelled, path)
     return models.score_latest(table, path)
+
+
+@query
+def score_latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which row of each company is scored, and that it got a trend."""
+    return score_latest(spark, sf_dir).select("company", "dt", F.col("trend").isNotNull().cast("int").alias("scored"))
+
+
+@query
+def logistic_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per company: training rows, rises among them, and whether the fit's slope is zero."""
+    features = ["Return_1", "close"]
+    rows = technical.returns_and_momentum(views.bars(spark, sf_dir)).select("company", "dt", *features)
+    split = stored(splits.by_position(labels.direction_label(rows.dropna()).withColumnRenamed("Target", "label")))
+    train = stored(scaling.min_max(split, features, F.col("is_train"), by=["company"]).where("is_train"))
+    weights = models.logistic_weights(train, features)
+    w = [F.get("weights", F.lit(i)) for i in range(3)]
+    error = 1 / (1 + F.exp(-(w[0] * F.col(features[0]) + w[1] * F.col(features[1]) + w[2]))) - F.col("label")
+    slopes = [F.sum(error * F.col(name)) + F.any_value(w[i]) for i, name in enumerate(features)] + [F.sum(error)]
+    return train.join(weights, "company").groupBy("company").agg(
+        F.count(F.lit(1)).alias("train_rows"), F.sum("label").alias("rises"),
+        (F.greatest(*map(F.abs, slopes)) < 1e-6).cast("int").alias("optimal"))

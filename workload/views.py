@@ -32,6 +32,11 @@ def bars_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(table(spark, sf_dir, "events"), "event_type", hour, "value", "event_id")
 
 
+def bars_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of five event types at the events' own times."""
+    return _bars(table(spark, sf_dir, "events"), "event_type", F.col("ts").cast("timestamp_ntz"), "value", "event_id")
+
+
 def bars_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars of every supplier from the line items."""
     price = F.col("l_extendedprice")
