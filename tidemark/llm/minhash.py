@@ -2,9 +2,9 @@
 
 Documents of the same shingle set are one class, so thousands of copies cost one signature in the
 search. A class enters one bucket per band of its signature. In every bucket the members are first
-compared with one centre, which ties most groups of near copies together; after that only members
-of different components of a bucket are paired, in blocks of bounded size, so a group of copies
-never gives all its pairs. A signature only rules pairs out, far below the threshold; links are
+compared with a centre, a few times over, which ties groups of near copies together; after that
+only members of different components of a bucket are paired, in blocks of bounded size, so a group
+of copies never gives all its pairs. A signature only rules pairs out, far below the threshold; links are
 confirmed on the full shingle sets.
 """
 
@@ -29,6 +29,8 @@ BLOCK = 128
 SLICE = 65_536
 # Standard deviations by which a signature must fall short before it rules a pair out.
 SLACK = 5.0
+# Times that the members of a bucket are compared with a centre before the rest is paired in blocks.
+ROUNDS = 3
 
 # Fixed values of the splitmix64 generator.
 _STEP, _MIX_1, _MIX_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -155,8 +157,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     band = F.explode(F.sequence(F.lit(0), F.lit(SLOTS // ROWS - 1))).alias("band")
     keyed = classes.select("id", "n", "signature", band).select("id", F.xxhash64(
         "band", F.expr(f"substring(signature, band * {2 * ROWS} + 1, {2 * ROWS})")).alias("bucket"))
-    shared = keyed.groupBy("bucket").agg(F.count("id").alias("size"), F.min("id").alias("centre")).where("size > 1")
-    members = stored(keyed.join(shared, "bucket"), "members")
+    shared = keyed.groupBy("bucket").agg(F.count("id").alias("size")).where("size > 1")
+    members = stored(keyed.join(shared, "bucket").select("bucket", "id"), "members")
 
     def with_signatures(pairs: DataFrame) -> DataFrame:
         for side in ("a", "b"):
@@ -175,12 +177,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         enough = 100 * both >= percent * (F.size("sa") + F.size("sb") - both)
         return stored(pairs.where(enough).select("a", "b"), "links")
 
-    candidates = members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    plausible = stored(with_signatures(candidates).mapInArrow(
-        lambda rows: _plausible(rows, SLOTS, percent / 100), "a long, b long"), "plausible")
-    links = verified(plausible)
-    links = links.union(verified(_across(members, classes, components(links), percent)))
-    found = components(links).withColumnRenamed("id", "member")
+    def ruled_in(pairs: DataFrame) -> DataFrame:
+        return stored(with_signatures(pairs.distinct()).mapInArrow(
+            lambda rows: _plausible(rows, SLOTS, percent / 100), "a long, b long"), "plausible")
+
+    links = None
+    for number in range(ROUNDS):
+        found = components(links) if links is not None else None
+        open_members = _open(members, found)
+        if open_members.isEmpty():
+            break
+        more = verified(ruled_in(_with_centre(open_members, number)))
+        links = more if links is None else links.union(more)
+    else:
+        links = links.union(verified(_across(_open(members, components(links)), classes, percent)))
+    found = components(links) if links is not None else None
+    if found is None:
+        found = members.select("id", F.col("id").alias("component")).limit(0)
+    found = found.withColumnRenamed("id", "member")
     grouped = classes.join(found, classes["id"] == found["member"], "left").select(
         "digest", F.coalesce("component", "id").alias("component_id"))
     out = described.join(grouped, "digest", "left").select(
@@ -199,19 +213,35 @@ def _sets(batches, words):
             [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], ["id", "shingles"])
 
 
-def _across(members: DataFrame, classes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+def _open(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """bucket, id, component of the members of buckets that hold more than one component."""
+    if found is None:
+        return members.select("bucket", "id", F.col("id").alias("component"))
+    labelled = stored(members.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component")), "labelled")
+    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    return stored(labelled.join(mixed.select("bucket"), "bucket"), "open")
+
+
+def _with_centre(labelled: DataFrame, number: int) -> DataFrame:
+    """a, b: every member beside its bucket's centre, if that is of another component.
+
+    The centre is drawn per bucket and round, so in the many buckets that near copies share each
+    meets many others, and one link is enough to tie it to the group.
+    """
+    drawn = F.min(F.struct(F.xxhash64(F.lit(number), "bucket", "id").alias("draw"), "id", "component")).alias("top")
+    centres = labelled.groupBy("bucket").agg(drawn).select("bucket", F.col("top.id").alias("centre"), F.col("top.component").alias("main"))
+    paired = labelled.join(centres, "bucket").where("component != main")
+    return paired.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+
+
+def _across(labelled: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Plausible pairs of bucket members that are still in different components.
 
-    The members outside the centre's component are paired with each other and with those inside, in
-    blocks; the latter are never paired with each other.
+    The members outside the bucket's main component are paired with each other and with those
+    inside, in blocks; the latter are never paired with each other.
     """
-    labels = found.select("id", "component")
-    labelled = members.join(labels, "id", "left").select(
-        "bucket", "id", "centre", F.coalesce("component", "id").alias("component"))
-    # The centre's component is the label of the smallest member, which carries the centre's own id.
-    counted = labelled.groupBy("bucket").agg(
-        F.min_by("component", "id").alias("main"), F.min("component").alias("low"), F.max("component").alias("high"),
-        F.count("id").alias("size")).where("low != high")
+    sizes = labelled.groupBy("bucket", "component").agg(F.count("id").alias("n"))
+    counted = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("n").alias("size"))
     rest = labelled.join(counted, "bucket").where("component != main").groupBy("bucket").agg(F.count("id").alias("outside"))
     sides = labelled.join(counted.join(rest, "bucket"), "bucket").withColumn("inside", F.col("component") == F.col("main"))
     blocks = sides.select(

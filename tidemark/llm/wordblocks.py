@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 8_000_000
 # Documents of a block that are put together at a time.
 SLICE = 200
 
