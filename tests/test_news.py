@@ -61,3 +61,14 @@ def test_names_match_whole_phrases(spark, monkeypatch):
         assert sorted((r.Symbol, r.article_id) for r in found.collect()) == expected
     both = news.match_names(df, companies, lang=None).collect()
     assert len(both) == len(expected) + 1
+
+
+def test_very_long_names_are_cut_into_short_pieces(spark):
+    name = " ".join(f"w{i % 5000}" for i in range(20_000))
+    companies = spark.createDataFrame([("L", name), ("S", "w3 w4")], "Symbol string, Security string")
+    pieces = news._name_pieces(companies, "Symbol", "Security")
+    assert max(len(r.piece) for r in pieces.collect()) < 30
+    articles = spark.createDataFrame([(1, "x " + name + " y", "en"), (2, "w1 w2 w3, W4", "en"), (3, name[:-1], "en")],
+                                     "article_id long, text string, lang string")
+    got = {(r.Symbol, r.article_id) for r in news.match_names(articles, companies).collect()}
+    assert got == {("L", 1), ("S", 1), ("S", 2), ("S", 3)}

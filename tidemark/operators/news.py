@@ -98,13 +98,16 @@ def match_names(articles: DataFrame, companies: DataFrame, text: str = "text", l
 
 
 def _name_pieces(companies: DataFrame, ticker: str, name: str) -> DataFrame:
-    """Each name as pieces of ``PIECE_WORDS`` words that cover it; the last one may overlap."""
+    """Each name as pieces of ``PIECE_WORDS`` words that cover it; the last one may overlap.
+
+    A piece carries a number for its name, not the name, so pieces grow with the names' length only.
+    """
     named = companies.select(ticker, words(F.col(name)).alias("_name")).where(F.size("_name") > 0)
     width = F.least(F.size("_name"), F.lit(PIECE_WORDS))
     last = F.size("_name") - width
     offsets = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(PIECE_WORDS)), F.array(last)))
     return (
-        named.select(ticker, "_name", F.array_join("_name", " ").alias("_phrase"),
+        named.select(ticker, "_name", F.xxhash64(ticker, "_name").alias("_phrase"),
                      F.size(offsets).alias("_pieces"), width.alias("_width"),
                      F.explode(offsets).alias("_offset"))
         .withColumn("piece", F.array_join(F.slice("_name", F.col("_offset") + 1, F.col("_width")), " "))

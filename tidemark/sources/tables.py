@@ -97,4 +97,4 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 def write_results(df: DataFrame, path: str) -> None:
     """A small result table (one row per experiment) as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)

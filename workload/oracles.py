@@ -6,12 +6,23 @@ global windows: slow at scale, but plain statements of what the result must be.
 
 from __future__ import annotations
 
-from tidemark.operators.display import TIME_FRAMES
-from tidemark.operators.news import DEFAULT_POLARITY
-from workload.views import COMPANIES, NEWS_DAYS, NEWS_START
 
 _oracles: dict[str, str] = {}
 
+# Fixed values, written out here so that a wrong one in the code under test shows.
+TIME_FRAMES = {"1W": 7, "1M": 30, "3M": 90, "6M": 180, "1Y": 365, "ALL": None}
+COMPANIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+NEWS_START, NEWS_DAYS = "1995-01-01", 2400
+DEFAULT_POLARITY = {
+    "best": 1.0, "excellent": 1.0, "great": 0.8, "good": 0.7, "strong": 0.4, "profit": 0.5,
+    "gain": 0.5, "gains": 0.5, "growth": 0.4, "beat": 0.4, "record": 0.3, "rise": 0.3,
+    "rises": 0.3, "up": 0.1, "rest": 0.1, "heed": 0.2, "weak": -0.4, "loss": -0.5,
+    "losses": -0.5, "fall": -0.3, "falls": -0.3, "down": -0.1, "miss": -0.4, "shed": -0.2,
+    "sting": -0.3, "stinging": -0.4, "lawsuit": -0.5, "fraud": -0.9, "bad": -0.7,
+    "terrible": -1.0, "worst": -1.0, "worthless": -0.8, "stupid": -0.8, "trash": -0.6,
+    "idiot": -0.8,
+}
+
 # --- Views ------------------------------------------------------------------------------------
 
 BARS = """bars AS (
@@ -222,11 +233,10 @@ _oracles["news_extract"] = with_(NEWS, """SELECT company AS ticker,
   STRFTIME(published_at, '%Y-%m-%d') || ' 09:30' AS published_at, lang, LENGTH(title) AS title_length,
   MD5(title) AS title_md5 FROM news""")
 _PLAIN = "' ' || TRIM(REGEXP_REPLACE(LOWER({x}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' '"
-_oracles["news_phrase_match"] = f"""SELECT 'ITEM-' || b.item_id AS ticker, d.doc_id AS article_id
+_oracles["news_phrase_match"] = f"""SELECT 'ITEM.' || b.item_id AS ticker, d.doc_id AS article_id
 FROM (SELECT doc_id, {_PLAIN.format(x='text')} AS plain FROM documents WHERE lang = 'en') d
 JOIN (SELECT item_id, {_PLAIN.format(x='text')} AS phrase FROM benchmark) b
   ON CONTAINS(d.plain, b.phrase)"""
-_oracles["news_phrase_match"] = _oracles["news_phrase_match"].replace("'ITEM-' ||", "'ITEM.' ||")
 _oracles["ticker_normalize"] = \
     "SELECT REPLACE('S.' || s_suppkey, '.', '-') AS \"Symbol\", s_name AS \"Security\" FROM supplier"
 _oracles["sentiment_join"] = with_(SENTIMENT_BARS, f"""SELECT company AS ticker, dt AS date,
