@@ -72,3 +72,9 @@ def test_very_long_names_are_cut_into_short_pieces(spark):
                                      "article_id long, text string, lang string")
     got = {(r.Symbol, r.article_id) for r in news.match_names(articles, companies).collect()}
     assert got == {("L", 1), ("S", 1), ("S", 2), ("S", 3)}
+
+
+def test_negations_and_intensifiers(spark):
+    df = articles(spark, [("A", 1, t, "en") for t in ("not good", "very bad", "not very good", "extremely terrible", "good not", "no, really great")])
+    got = {r.article_id: round(r.sentiment, 6) for r in news.score_text(df, news.default_lexicon(spark), "text").collect()}
+    assert got == {0: -0.35, 1: -0.91, 2: -0.455, 3: -1.0, 4: 0.7, 5: -0.48}

@@ -55,10 +55,18 @@ NEWS = f"""news AS (
 _words = ", ".join(f"('{word}', CAST({value} AS DOUBLE))" for word, value in DEFAULT_POLARITY.items())
 SCORED = f"""{NEWS},
 lexicon(word, polarity) AS (VALUES {_words}),
+lists AS (SELECT article_id, regexp_split_to_array(LOWER(title), '[^\\p{{L}}\\p{{N}}]+') AS words FROM news),
+placed AS (SELECT article_id, UNNEST(words) AS word, generate_subscripts(words, 1) AS place FROM lists),
 tokens AS (
-  SELECT article_id, UNNEST(regexp_split_to_array(LOWER(title), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM news),
+  SELECT article_id, word, LAG(word) OVER w AS before, LAG(word, 2) OVER w AS earlier
+  FROM placed WINDOW w AS (PARTITION BY article_id ORDER BY place)),
+strong(before, strength) AS (VALUES ('very', 1.3::DOUBLE), ('highly', 1.3), ('really', 1.2), ('extremely', 1.5), ('somewhat', 0.7), ('slightly', 0.5)),
+turned AS (
+  SELECT article_id, polarity * COALESCE(strength, 1) * CASE WHEN before IN ('not', 'no', 'never', 'without')
+           OR (strength IS NOT NULL AND earlier IN ('not', 'no', 'never', 'without')) THEN CAST(-0.5 AS DOUBLE) ELSE 1 END AS polarity
+  FROM tokens JOIN lexicon USING (word) LEFT JOIN strong USING (before)),
 found AS (
-  SELECT article_id, AVG(polarity) AS polarity FROM tokens JOIN lexicon USING (word) GROUP BY 1),
+  SELECT article_id, AVG(GREATEST(-1, LEAST(1, polarity))) AS polarity FROM turned GROUP BY 1),
 scored AS (
   SELECT n.article_id, n.company, n.published_at, COALESCE(f.polarity, CAST(0 AS DOUBLE)) AS sentiment
   FROM news n LEFT JOIN found f USING (article_id))"""
