@@ -121,6 +121,8 @@ def _blocks(batches, block_bytes: int) -> Iterator[tuple[str, pa.Array, pa.Array
                 number, ids, texts, size = number + 1, [], [], 0
     if ids:
         yield f"{task}-{number}", pa.concat_arrays(ids), pa.concat_arrays(texts)
+    # A worker is kept for later tasks; what Arrow holds for this one is given back.
+    pa.default_memory_pool().release_unused()
 
 
 def part_count(spark) -> int:
@@ -227,6 +229,8 @@ def assembled(coded: DataFrame, known: DataFrame, build: Callable[[pa.Table, np.
             codes = [unpacked(data, n) for n, data in zip(some["n"].to_pylist(), some["codes"].to_pylist())]
             return build(some, np.concatenate(codes), sizes, flat)
 
-        return pa.concat_tables([built(texts.slice(at, SLICE)) for at in range(0, texts.num_rows, SLICE)])
+        whole = pa.concat_tables([built(texts.slice(at, SLICE)) for at in range(0, texts.num_rows, SLICE)])
+        pa.default_memory_pool().release_unused()
+        return whole
 
     return coded.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(joined, schema)
