@@ -210,3 +210,26 @@ def test_one_field_is_named_like_many(spark):
     bars = spark.createDataFrame([("A_Close", "2024-01-01", 1.0, 2.0), ("B", "2024-01-01", 3.0, 4.0)], "company string, dt string, open double, close double")
     assert reshape.to_wide(bars, fields=["close"]).columns == ["dt", "A_Close|Close", "B|Close"]
     assert reshape.to_wide(bars, fields=["open", "close"]).columns == ["dt", "A_Close|Open", "A_Close|Close", "B|Open", "B|Close"]
+
+
+def test_tables_that_cannot_be_opened_are_reported(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "good"))
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("not parquet")
+    rows = {r.table_name: r for r in profile.profile_paths(
+        spark, {n: str(tmp_path / n) for n in ("good", "bad", "none")}).collect()}
+    assert (rows["good"].row_count, rows["good"].error) == (3, None)
+    assert rows["bad"].error and rows["none"].error == "PATH_NOT_FOUND"
+
+
+def test_stored_tables_are_cleared(spark, tmp_path):
+    from tidemark.plans import staging
+    kept = dict(staging._written)
+    staging._written.clear()
+    table = staging.stored(spark.range(5), "numbers")
+    (file, *_) = table.inputFiles()
+    assert table.count() == 5 and staging.clear_stored(spark) == 1
+    from pathlib import Path
+    from urllib.parse import urlparse
+    assert not Path(urlparse(file).path).exists() and staging.clear_stored(spark) == 0
+    staging._written.update(kept)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Mapping
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def profile_table(df: DataFrame, name: str, key: str | None = None, approximate: bool = False) -> DataFrame:
@@ -25,6 +29,30 @@ def profile_table(df: DataFrame, name: str, key: str | None = None, approximate:
         F.inline("columns"))
 
 
+def profile_paths(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """``profile_table`` of the Parquet tables at ``paths`` (by name), with a column ``error``.
+
+    A table that cannot be opened gives one row with the reason instead of failing the others.
+    """
+    rows = None
+    for name, path in paths.items():
+        reason = None
+        try:
+            found = profile_table(spark.read.parquet(path), name).withColumn("error", F.lit(None).cast("string"))
+        except PySparkException as error:
+            reason = error.getCondition() or type(error).__name__
+        except Py4JJavaError as error:
+            reason = error.java_exception.getClass().getSimpleName()
+        if reason:
+            found = spark.range(1).select(
+                F.lit(name).alias("table_name"), *(F.lit(None).cast("long").alias(c) for c in ("row_count", "column_count", "distinct_keys")),
+                F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("long").alias("missing"), F.lit(reason).alias("error"))
+        rows = found if rows is None else rows.unionByName(found)
+    if rows is None:
+        raise ValueError("no tables named")
+    return rows
+
+
 def distinct_keys(df: DataFrame, key: str = "company") -> DataFrame:
     """The distinct keys in order."""
     return df.select(key).distinct().orderBy(key)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.session import scratch_folder
 
 
+_written: dict[str, list[str]] = {}
+
+
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     """The same rows, written once to the shared scratch folder and read from there.
 
@@ -15,10 +18,25 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     the steps before it.
     """
     path = scratch_folder(df.sparkSession, label)
+    _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def clear_stored(spark: SparkSession) -> int:
+    """Delete everything this application has ``stored``, and say how many tables that were.
+
+    For the end of a job: DataFrames that read these tables can't be used any more.
+    """
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        # The label's folder lies in one of its own.
+        folder = jvm.org.apache.hadoop.fs.Path(path).getParent()
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(paths)
+
+
 def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``rows`` rows, and unchanged otherwise.
 
