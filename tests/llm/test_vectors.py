@@ -58,3 +58,19 @@ def test_vectors_that_link_with_nothing(spark):
 def test_passes_grow_with_the_logarithm():
     assert vectors.passes(400, 0.95) == 1
     assert 1 < vectors.passes(10**5, 0.95) < vectors.passes(10**9, 0.95) < 200
+
+
+def test_links_inside_a_dense_cone_are_all_met(spark):
+    # A third of the vectors at cosine 0.90 of each other, in pairs at 0.951: signs hardly tell them apart.
+    random = np.random.default_rng(9)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    first = unit(random.normal(size=(700, 63)))
+    other = random.normal(size=(700, 63))
+    other = unit(other - (other * first).sum(axis=1, keepdims=True) * first)
+    second = 0.51 * first + np.sqrt(1 - 0.51 ** 2) * other
+    cone = np.column_stack([np.full(1400, np.sqrt(0.9)), np.sqrt(0.1) * np.concatenate([first, second])])
+    rows = [(int(k), v.tolist()) for k, v in zip(random.permutation(4200), np.concatenate([cone, random.normal(size=(2800, 64))]))]
+    want = brute_force(rows)
+    assert sum(n for n, _, _ in want.values()) >= 1400
+    got = found(spark, rows, block=64)
+    assert got == want
