@@ -93,3 +93,15 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     assert sorted((r["doc_id"] for r in got), key=repr) == [1, 5, 6, 7, None]
     documents(spark, [], extra=False).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_dedup_decides_by_row(spark):
+    from helpers import documents
+    text = lambda word: " ".join(f"{word}{i}" for i in range(40))
+    rows = [*((1, text(word)) for word in "abcd"), (1, text("a")), (2, text("a") + " more"), (None, text("e")), (None, text("e")),
+            (None, text("b")), (0, text("d"))]
+    docs = documents(spark, rows, extra=False)
+    got = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, SF_DIR)
+    assert got.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted(
+        [(1, text("a")), (1, text("b")), (1, text("c")), (0, text("d")), (None, text("e"))], key=repr)
