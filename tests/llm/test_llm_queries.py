@@ -105,3 +105,23 @@ def test_near_dedup_decides_by_row(spark):
     assert got.columns == docs.columns
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted(
         [(1, text("a")), (1, text("b")), (1, text("c")), (0, text("d")), (None, text("e"))], key=repr)
+
+
+def test_the_mix_shows_in_the_result(spark, tmp_path):
+    from helpers import documents
+    # Three sources of 1600, 400 and 100 rows: targets by the roots, 4 to 2 to 1.
+    sources = {i: "a" if i < 1600 else "b" if i < 2000 else "c" for i in range(2100)}
+    rows = [(i, f"text {i}", "en", s, None) for i, s in sources.items()]
+    docs = documents(spark, [*rows, rows[0], (7, "another text of seven", "en", "a", None)], extra=False)
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    got = corpus_pipeline.encode_tokens(spark, docs, SF_DIR).collect()
+    assert len(got) == 2102 and len({(r["mix_slot"], r["mix_place"]) for r in got}) == 2102
+    order = [sources[r["doc_id"]] for r in sorted(got, key=lambda r: (r["mix_slot"], r["mix_place"]))]
+    # Blocks hold 64 rows, and every source is less than one block away from its share.
+    for size in (64 * 4, 64 * 7):
+        for source, share in (("a", 4 / 7), ("b", 2 / 7), ("c", 1 / 7)):
+            if source != "c" or size * share <= 64:
+                assert abs(order[:size].count(source) - size * share) <= 64
+    digests = {hashlib.sha256(r["text"].encode()).hexdigest() for r in docs.collect()}
+    assert {r["decoded_sha256"] for r in got} == digests
