@@ -6,6 +6,7 @@ import duckdb
 import public_tokenizers
 import pytest
 import tiktoken
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemark.llm import bpe, queries
@@ -17,14 +18,14 @@ QUERIES, ORACLES = queries.all_queries(), queries.all_oracles()
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "embeddings", "conversations"):
+    for name in ("documents", "embeddings", "conversations", "labels"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return connection
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
-    assert {name.split("_")[0] for name in set(QUERIES) - set(ORACLES)} == {"op1", "op3", "op4", "op5", "op6", "op8", "op10"}
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
+    assert {name.split("_")[0] for name in set(QUERIES) - set(ORACLES)} == {"op1", "op3", "op4", "op5", "op6", "op8", "op10", "op11"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -50,6 +51,18 @@ def test_op1_equals_the_library(spark):
         assert [r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]] == [len(ids), *digests]
 
 
+def test_op11_equals_the_library(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    rows = QUERIES["op11_prefix_bpe"](spark, SF_DIR).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
+        decoded = hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+        packed = hashlib.sha256(b"".join(x.to_bytes(4, "little") for x in ids)).hexdigest()
+        assert [r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]] == [len(ids), packed, decoded]
+
+
 def test_op5_equals_brute_force(spark):
     from test_minhash import brute_force
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]

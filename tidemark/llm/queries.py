@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, fingerprints, langid, line_templates, minhash, mixing, secrets, token_counts, vectors
+from tidemark.llm import (bitplanes, bpe, chat, filter_audit, fingerprints, langid, line_templates, minhash, mixing, prefix_bpe, secrets,
+                          token_counts, vectors)
 
 _registry: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _oracles: dict[str, str] = {}
@@ -205,3 +206,80 @@ SELECT d.doc_id, coalesce(len(shown), 0)::BIGINT AS n_lines,
            ELSE array_to_string([cut[i] FOR i IN range(1, len(cut) + 1) IF NOT list_contains(drops, i)], chr(10)) END) AS text_sha256
 FROM d LEFT JOIN e ON d.doc_id IS NOT DISTINCT FROM e.doc_id AND d.text = e.text
 """
+
+
+@query
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the word vocabulary and decoded again, as digests."""
+    tokenizer = prefix_bpe.load(public_tokenizers.path("word_bpe_49k.json"))
+    encoded = prefix_bpe.encode(table(spark, sf_dir, "documents"), tokenizer)
+    return prefix_bpe.decode(encoded, tokenizer).select(
+        F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each language, in every order."""
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# Each document meets each order here, and the first of its failures in that order removes it.
+_oracles["op12_filter_audit"] = r"""
+WITH m AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        CASE WHEN len(words) < 200 THEN ['A'] ELSE [] END
+        || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN ['B'] ELSE [] END
+        || CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) THEN ['C'] ELSE [] END
+        || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN ['D'] ELSE [] END
+        || CASE WHEN t.doc_id > min(t.doc_id) OVER (PARTITION BY text) THEN ['E'] ELSE [] END AS fails
+      FROM t LEFT JOIN m ON t.doc_id = m.doc_id),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT f.*, filter_order, coalesce(list_min([instr(filter_order, y) FOR y IN fails]), 6) AS gone FROM f, o),
+k AS (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM s),
+c AS (SELECT part, filter_order, step::INT AS step, substr(filter_order, step, 1) AS letter,
+        count(*) FILTER (gone > step) AS kept, count(*) FILTER (gone = step) AS removed,
+        count(*) FILTER (gone < step AND list_contains(fails, substr(filter_order, step, 1))) AS redundant,
+        count(*) FILTER (fails = [substr(filter_order, step, 1)]) AS unique_fails,
+        count(*) FILTER (gone = step AND good = 1) AS good_lost, count(*) FILTER (gone = step AND toxic = 1) AS toxic_lost
+      FROM k GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM c
+"""
+
+
+@query
+def op13_bitplane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole vector's cluster after ten rounds."""
+    found = bitplanes.cluster(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
+
+
+def _rounds_sql(rounds: int) -> str:
+    """The rounds written out one after the other, by differences of components."""
+    near = """a{at} AS MATERIALIZED (SELECT r, vec_id, v, k, d FROM (
+    SELECT r, vec_id, v, k, list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(v, c)])::BIGINT AS d FROM v, c{at})
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1)"""
+    move = """s{at} AS (SELECT k, i, sum(x) AS s, count(*) AS n
+    FROM (SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{at}) GROUP BY k, i),
+m{at} AS (SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM s{at} GROUP BY k),
+c{to} AS MATERIALIZED (SELECT k, coalesce(m{at}.c, c{at}.c) AS c FROM c{at} LEFT JOIN m{at} USING (k))"""
+    steps = [f"{near.format(at=at)},\n{move.format(at=at, to=at + 1)}" for at in range(rounds)]
+    return """WITH w AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings WHERE len(embedding) = 64),
+v AS MATERIALIZED (SELECT r, vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM w
+    WHERE len([1 FOR x IN embedding IF coalesce(isfinite(x), false)]) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) AS k, v AS c FROM v
+    QUALIFY row_number() OVER (ORDER BY sha256('3:' || vec_id), v) <= 8),
+""" + ",\n".join([*steps, near.format(at=rounds)]) + f"""
+SELECT vec_id, (k - 1)::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia,
+    (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (k)
+"""
+
+
+_oracles["op13_bitplane_clusters"] = _rounds_sql(10)
