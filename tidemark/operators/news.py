@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.text import runs_of_words, split_words, words
-from tidemark.plans.staging import broadcast_if_small
+from tidemark.functions.text import runs_of_words, words
+from tidemark.operators.polarity import polarity
 
 # Names are looked up in pieces of at most this many words.
 PIECE_WORDS = 3
@@ -16,10 +16,6 @@ PIECE_WORDS = 3
 # Name pieces up to this number are broadcast; more of them are joined by a shuffle.
 BROADCAST_PIECES = 200_000
 
-# Words that turn the polarity of the next one, by how much, and words that strengthen or weaken it.
-NEGATIONS, NEGATED = ("not", "no", "never", "without"), -0.5
-INTENSIFIERS = {"very": 1.3, "highly": 1.3, "really": 1.2, "extremely": 1.5, "somewhat": 0.7, "slightly": 0.5}
-
 # A small default lexicon; real jobs pass their own table (word, polarity).
 DEFAULT_POLARITY = {
     "best": 1.0, "excellent": 1.0, "great": 0.8, "good": 0.7, "strong": 0.4, "profit": 0.5,
@@ -38,34 +34,13 @@ def default_lexicon(spark: SparkSession) -> DataFrame:
 
 
 def score_text(articles: DataFrame, lexicon: DataFrame, text: str = "title",
-               keep: Sequence[str] = ("article_id", "company", "published_at")) -> DataFrame:
-    """The ``keep`` columns, which identify an article, and ``sentiment``: the mean polarity of
-    the lexicon words in its whole text, 0.0 if it has none.
-
-    A word's polarity is multiplied by the strength of an intensifier right before it, and by
-    ``NEGATED`` where a negation stands before it or before that intensifier; the product is kept
-    within -1 and 1.
+               keep: Sequence[str] = ("article_id", "company", "published_at"), clauses: bool = False) -> DataFrame:
+    """The ``keep`` columns and ``sentiment``: the mean polarity of the lexicon's words and phrases in
+    the whole text, 0.0 if it has none. See ``polarity`` for the lexicon and for negations.
 
-    The text itself never leaves the task that reads it: its words meet the lexicon there
-    (broadcast after a check of its size), are averaged there, and one short row per article is
-    shuffled.
+    A text is scored where it is read, so nothing is shuffled.
     """
-    # An empty word without polarity keeps articles that have no other word of the lexicon.
-    found = lexicon.select("word", "polarity").union(
-        lexicon.sparkSession.sql("SELECT '' AS word, CAST(NULL AS DOUBLE) AS polarity"))
-    split = articles.select(*keep, F.concat(split_words(F.col(text)), F.array(F.lit(""))).alias("_tokens"))
-    each = F.transform("_tokens", lambda word, at: F.struct(
-        word.alias("word"), F.get("_tokens", at - 1).alias("before"), F.get("_tokens", at - 2).alias("earlier")))
-    tokens = split.select(*keep, F.explode(each).alias("_token")).select(*keep, "_token.*")
-    strength = F.coalesce(F.try_element_at(F.create_map(*(
-        F.lit(x) for pair in INTENSIFIERS.items() for x in pair)), F.col("before")), F.lit(1.0))
-    negated = F.col("before").isin(*NEGATIONS) | (F.col("before").isin(*INTENSIFIERS) & F.col("earlier").isin(*NEGATIONS))
-    turned = F.col("polarity") * strength * F.when(negated, NEGATED).otherwise(1.0)
-    return (
-        tokens.join(broadcast_if_small(found), "word")
-        .groupBy(*keep).agg(F.coalesce(F.avg(
-            F.when(turned.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), turned)))), F.lit(0.0)).alias("sentiment"))
-    )
+    return articles.select(*keep, polarity(F.col(text), lexicon, clauses).alias("sentiment"))
 
 
 def newest_articles(articles: DataFrame, limit: int = 10, company: str = "company",

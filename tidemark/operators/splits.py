@@ -17,14 +17,16 @@ def by_position(df: DataFrame, share: float = TRAIN_SHARE, validation: float = V
     def build(s: Series) -> DataFrame:
         return s.rows.withColumns({"position": s.position, "_size": s.size})
 
-    train = F.floor(F.col("_size") * F.lit(share))
+    return flagged(over_series(df, build, **layout), "_size", share, validation).drop("_size")
+
+
+def flagged(placed: DataFrame, size: str = "size", share: float = TRAIN_SHARE, validation: float = VALIDATION_SHARE) -> DataFrame:
+    """Adds the flags of ``by_position`` to rows that know their ``position`` and the ``size`` of their series."""
     fitted = F.floor(F.col("train_rows") * F.lit(1.0 - validation))
     return (
-        over_series(df, build, **layout)
-        .withColumn("train_rows", train)
+        placed.withColumn("train_rows", F.floor(F.col(size) * F.lit(share)))
         .withColumn("is_train", F.col("position") <= F.col("train_rows"))
         .withColumn("is_validation", F.col("is_train") & (F.col("position") > fitted))
-        .drop("_size")
     )
 
 

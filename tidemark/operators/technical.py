@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.series import (
     ema_memory, ema_parts, ema_value, finite, gain, loss, relative_change, rolling, shift, span_to_alpha,
 )
 from tidemark.operators.indicator import Indicator, Stage
+from tidemark.plans.scan import recursive_mean
 from tidemark.plans.series import Series
 
 # Keeps a ratio defined when its denominator is zero.
 EPSILON = 1e-9
 
+# Rows looked back by returns and momentum, and the spans of the MACD.
 RETURN_PERIODS = (1, 3, 5, 10)
 FAST, SLOW, SIGNAL = (span_to_alpha(span) for span in (12, 26, 9))
 
@@ -182,3 +184,17 @@ TECHNICAL = (
     moving_averages, exponential_averages, macd, rsi, bollinger, returns_and_momentum, volatility,
     average_true_range, price_ratios, volume_features, stochastic, candles,
 )
+
+
+def exponential_average(bars: DataFrame, span: int, value: str = "close", name: str | None = None, **layout) -> DataFrame:
+    """Adds ``EMA_<span>`` of any span, however long the series: segments hand on their state instead of rows."""
+    return recursive_mean(bars, value, name or f"EMA_{span}", span=span, **layout)
+
+
+def long_macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, **layout) -> DataFrame:
+    """Adds MACD, MACD_Signal and MACD_Hist of any spans, however long the series."""
+    for span, name in ((fast, "_fast"), (slow, "_slow")):
+        bars = exponential_average(bars, span, name=name, **layout)
+    bars = bars.withColumn("MACD", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
+    bars = exponential_average(bars, signal, "MACD", "MACD_Signal", **layout)
+    return bars.withColumn("MACD_Hist", F.col("MACD") - F.col("MACD_Signal"))

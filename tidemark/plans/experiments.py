@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators import labels, metrics, models, scaling, splits, windows
+from tidemark.operators import labels, lagged, metrics, models, scaling, splits, windows
+from tidemark.plans import sequences
 from tidemark.plans.features import TABLE_NAMES
 from tidemark.plans.staging import stored
 
@@ -55,29 +56,45 @@ def logistic_experiment(table: DataFrame, companies: Sequence[str] | None = None
     columns = dict.fromkeys(name for features in sets.values() for name in features)
     labelled = labels.direction_label(_chosen(table.select("company", "dt", *columns), companies, years))
     split = stored(splits.by_position(labelled.dropna()), "logistic_rows")
-    scored = [models.logistic_per_company(split, features).withColumn("model", F.lit(name))
-              for name, features in sets.items()]
-    return metrics.probability_experiment_table(_appended(scored))
+    return metrics.probability_experiment_table(models.logistic_scores(split, sets))
 
 
-def sequence_experiment(table: DataFrame, companies: Sequence[str] | None = None, years: int = YEARS,
-                        lookback: int = labels.LOOKBACK, max_iter: int = 20) -> DataFrame:
-    """Per company and feature set: the return five rows ahead, predicted from the ``lookback``
-    rows before by boosted trees over all companies (Company, Model, DA (%), MAE, RMSE).
+def sequence_inputs(table: DataFrame, companies: Sequence[str] | None = None, years: int = YEARS,
+                    lookback: int = labels.LOOKBACK) -> tuple[DataFrame, dict[str, list[str]]]:
+    """The stored sequences that the regressions learn from, and their feature sets.
 
-    ``table`` has company, dt, close, MA_10, MA_20 and perhaps sentiment.
+    ``table`` has company, dt, close, MA_10, MA_20 and perhaps sentiment. Features are scaled to 0-1 on the
+    rows that each company's training sequences cover, so nothing of the later rows is known.
     """
     sets = _feature_sets(table, ("Return", *AVERAGES), "Return Sequence")
+    features = list(dict.fromkeys(name for chosen in sets.values() for name in chosen))
     optional = ["sentiment"] if "sentiment" in table.columns else []
     narrow = table.select("company", "dt", "close", *AVERAGES, *optional)
     rows = stored(labels.return_targets(_chosen(narrow, companies, years)), "sequence_rows")
-    predicted = []
+    seen = splits.seen_by_sequences(rows, lookback)
+    scaled = scaling.min_max(seen, features, F.col("is_seen"), by=["company"])
+    return stored(sequences.sequence_store(scaled, features, lookback=lookback), "sequence_store"), sets
+
+
+def sequence_experiment(table: DataFrame, companies: Sequence[str] | None = None, years: int = YEARS,
+                        lookback: int = labels.LOOKBACK, learner: str = "ridge", max_iter: int = 20) -> DataFrame:
+    """Per company and feature set: the return five rows ahead, predicted from the ``lookback`` rows before
+    (Company, Model, DA (%), MAE, RMSE). See ``sequence_inputs`` for the table.
+
+    ``learner`` is "ridge", a linear model per company on all steps, or "trees", boosted trees over all
+    companies together.
+    """
+    store, sets = sequence_inputs(table, companies, years, lookback)
+    if learner == "ridge":
+        fitted = stored(lagged.lagged_ridge(store, sets, lookback=lookback), "sequence_models")
+        return metrics.experiment_table(lagged.predicted(store, fitted, sets, lookback=lookback))
+    if learner != "trees":
+        raise ValueError(f"no such learner: {learner}")
+    scored = []
     for name, features in sets.items():
-        built = stored(labels.sequences(rows, features, lookback=lookback), "sequences")
-        split = stored(splits.by_position(built), "split_sequences")
-        scored = models.sequence_regressor(split, max_iter=max_iter)
-        predicted.append(scored.withColumn("model", F.lit(name)))
-    return metrics.experiment_table(_appended(predicted))
+        built = splits.flagged(sequences.expanded(store, features, lookback=lookback))
+        scored.append(models.sequence_regressor(built, max_iter=max_iter).withColumn("model", F.lit(name)))
+    return metrics.experiment_table(_appended(scored))
 
 
 def pooled_experiment(bars: DataFrame, years: int = YEARS,
@@ -92,10 +109,10 @@ def pooled_experiment(bars: DataFrame, years: int = YEARS,
     rows = stored(labels.log_return_features(recent), "pooled_rows")
     scaled = scaling.standard(splits.by_date_quantile(rows), POOLED_FEATURES, F.col("is_train"))
     tagged = scaled.withColumn("part", F.when(F.col("is_train"), "train").otherwise("test"))
-    built = labels.sequences(stored(tagged, "scaled_rows"), POOLED_FEATURES, "Direction", lookback,
-                             keys=["part", "company"])
-    built = stored(built.withColumn("is_train", F.col("part") == "train"), "pooled_sequences")
-    scored = stored(models.sequence_classifier(built), "pooled_scores")
+    by = ["part", "company"]
+    store = stored(sequences.sequence_store(tagged, POOLED_FEATURES, "Direction", lookback, by), "pooled_store")
+    built = sequences.expanded(store, POOLED_FEATURES, "Direction", lookback, by)
+    scored = stored(models.sequence_classifier(built.withColumn("is_train", F.col("part") == "train")), "pooled_scores")
     return metrics.classification_metrics(scored).select(
         F.lit("Pooled Sequence Classifier").alias("Model"),
         F.round("accuracy", 2).alias("Accuracy_%"), F.round("roc_auc", 4).alias("ROC_AUC"),

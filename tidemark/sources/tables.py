@@ -45,6 +45,11 @@ def read_companies(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("Symbol", exchange_ticker(F.col("Symbol")))
 
 
+def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    """A landed lexicon (word, polarity); a word may be a phrase of several."""
+    return spark.read.schema("word STRING, polarity DOUBLE").option("header", True).csv(path)
+
+
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """Landed news responses as one row per article (ticker, published_at, title, lang).
 

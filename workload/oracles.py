@@ -148,6 +148,23 @@ _MACD = [rnd("macd", 2, "MACD"), rnd("signal", 2, "MACD_Signal"), rnd("hist", 2,
 _oracles["macd"] = select(f"{BARS}, {MACD_PARTS}", _MACD, "macds")
 _oracles["macd_cut"] = _oracles["macd"]
 
+_ALPHA = "(CAST(2 AS DOUBLE) / ({} + 1))"
+_oracles["ema_long_cut"] = with_(
+    f"""{BARS}, {ema('bars', 'close', _ALPHA.format(10000), 'long', 'v')}, {ema('bars', 'close', _ALPHA.format(500), 'short', 'v')}""",
+    f"""SELECT company, dt, {rnd('long.v', 4, 'EMA_10000')}, {rnd('short.v', 4, 'EMA_500')}
+FROM long JOIN short USING (company, dt)""")
+_oracles["macd_long_cut"] = with_(f"""{BARS}, {ema('bars', 'close', _ALPHA.format(120), 'e120', 'v')},
+{ema('bars', 'close', _ALPHA.format(260), 'e260', 'v')},
+macd AS (SELECT company, dt, e120.v - e260.v AS macd FROM e120 JOIN e260 USING (company, dt)),
+{ema('macd', 'macd', _ALPHA.format(90), 'e90', 'v')}""", f"""SELECT company, dt, {rnd('macd', 4, 'MACD')},
+{rnd('e90.v', 4, 'MACD_Signal')}, {rnd('macd - e90.v', 4, 'MACD_Hist')} FROM macd JOIN e90 USING (company, dt)""")
+
+_oracles["drawdown_cut"] = with_(f"""{BARS}, walked AS (SELECT company, dt, close, ROW_NUMBER() OVER ({BY_COMPANY}) AS i,
+  MAX(close) OVER ({BY_COMPANY}) AS peak, COALESCE(close > {lag('close')}, FALSE) AS rise FROM bars)""",
+    f"""SELECT company, dt, {rnd('close / peak - 1', 6, 'Drawdown')},
+i - MAX(CASE WHEN close = peak THEN i END) OVER ({BY_COMPANY}) AS "Rows_Since_Peak",
+i - MAX(CASE WHEN NOT rise THEN i END) OVER ({BY_COMPANY}) AS "Rising_Rows" FROM walked""")
+
 _DELTA = f"delta AS (SELECT *, close - {lag('close')} AS d, {lag('close')} AS prior FROM bars)"
 _MOVES = f"""{_DELTA}, moves AS (
   SELECT *, CASE WHEN d IS NOT NULL THEN GREATEST(d, 0) END AS gain,
@@ -233,6 +250,36 @@ _oracles["macd_display"] = select(
 
 _oracles["lexicon_sentiment"] = select(
     SCORED, [rnd("sentiment", 6, "sentiment")], "scored", "article_id, company, published_at")
+# The longest phrase at each place, then a walk from phrase to phrase that leaves out what overlaps.
+PHRASES = {
+    "the": 0.1, "the and": -0.4, "the and attion to": 0.9, "of the": 0.5, "of the of": -0.6, "to the": 0.3, "is the": -0.2,
+    "rest": 0.1, "heed": 0.2, "for the": 0.4, "a": -0.1, "in the a": -0.7,
+}
+_phrases = ", ".join(f"('{phrase}', CAST({value} AS DOUBLE))" for phrase, value in PHRASES.items())
+_oracles["phrase_sentiment"] = f"""WITH RECURSIVE {NEWS},
+lexicon(phrase, polarity) AS (VALUES {_phrases}),
+lists AS (SELECT article_id, regexp_extract_all(LOWER(REPLACE(REPLACE(title, ' that ', ' not '), ' with ', ' very ')),
+  '[\\p{{L}}\\p{{N}}]+|[.,;:!?]+') AS words FROM news),
+placed AS (SELECT article_id, UNNEST(words) AS word, generate_subscripts(words, 1) AS i FROM lists),
+around AS (
+  SELECT article_id, i, word, LAG(word) OVER w AS before, LEAD(word, 1) OVER w AS w2, LEAD(word, 2) OVER w AS w3, LEAD(word, 3) OVER w AS w4,
+    MAX(CASE WHEN word IN ('not', 'no', 'never', 'without') THEN i END) OVER past AS turned,
+    MAX(CASE WHEN regexp_matches(word, '^[.,;:!?]') THEN i END) OVER past AS ended
+  FROM placed WINDOW w AS (PARTITION BY article_id ORDER BY i),
+    past AS (PARTITION BY article_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+tried AS (SELECT article_id, i, before, turned, ended, UNNEST([1, 2, 3, 4]) AS n,
+  UNNEST([word, word || ' ' || w2, word || ' ' || w2 || ' ' || w3, word || ' ' || w2 || ' ' || w3 || ' ' || w4]) AS phrase FROM around),
+longest AS MATERIALIZED (SELECT article_id, i, n, polarity * CASE before WHEN 'very' THEN CAST(1.3 AS DOUBLE) ELSE 1 END
+    * CASE WHEN turned > COALESCE(ended, 0) THEN CAST(-0.5 AS DOUBLE) ELSE 1 END AS polarity
+  FROM tried JOIN lexicon USING (phrase) QUALIFY ROW_NUMBER() OVER (PARTITION BY article_id, i ORDER BY n DESC) = 1),
+linked AS MATERIALIZED (SELECT a.article_id, a.i, b.i AS next FROM longest a ASOF JOIN longest b
+  ON a.article_id = b.article_id AND a.i + a.n <= b.i),
+walk AS (
+  SELECT article_id, MIN(i) AS i FROM longest GROUP BY 1
+  UNION ALL SELECT w.article_id, l.next FROM walk w JOIN linked l ON l.article_id = w.article_id AND l.i = w.i),
+found AS (SELECT article_id, AVG(GREATEST(-1, LEAST(1, polarity))) AS polarity FROM walk JOIN longest USING (article_id, i) GROUP BY 1)
+SELECT n.article_id, n.company, n.published_at, {rnd('COALESCE(f.polarity, CAST(0 AS DOUBLE))', 6, 'sentiment')}
+FROM news n LEFT JOIN found f USING (article_id)"""
 _oracles["daily_sentiment"] = select(DAILY, [rnd("sentiment", 6, "sentiment")], "daily")
 _oracles["news_top_n"] = with_(NEWS, """SELECT company, article_id, published_at, LENGTH(title) AS title_length
 FROM news WHERE lang = 'en'
@@ -252,6 +299,8 @@ _oracles["sentiment_join"] = with_(SENTIMENT_BARS, f"""SELECT company AS ticker,
 _oracles["optional_sentiment"] = select(
     BARS, [rnd("close", 2, "close"), "CAST(0 AS DOUBLE) AS sentiment"])
 
+_oracles["sentiment_present"] = select(SENTIMENT_BARS, [rnd("close", 2, "close"), rnd("sentiment", 6, "sentiment")])
+
 _SENT = [*(rnd(lag("sentiment", n), 6, f"Sentiment_Lag{n}") for n in (1, 2, 3)),
          rnd(strict("AVG", "sentiment", 3), 6, "Sentiment_MA3"),
          rnd(strict("AVG", "sentiment", 7), 6, "Sentiment_MA7"),
@@ -303,6 +352,11 @@ _oracles["pivot_wide"] = with_(BARS, "SELECT dt, " + ", ".join(
     for c in COMPANIES for f in ("close", "volume")) + " FROM bars GROUP BY dt")
 _oracles["wide_to_long"] = with_(BARS, """SELECT STRFTIME(dt, '%Y-%m-%d') AS date, company AS ticker,
 open, high, low, close, volume FROM bars WHERE company <> '5-LOW'""")
+_oracles["wide_blocks"] = with_(BARS_SUPPLIER, f"""SELECT company, dt, {rnd('open', 2, 'open')}, {rnd('high', 2, 'high')},
+{rnd('low', 2, 'low')}, {rnd('close', 4, 'close')}, {rnd('volume', 2, 'volume')} FROM bars""")
+_oracles["wide_columns"] = with_(BARS_SUPPLIER, "SELECT dt, " + ", ".join(
+    rnd(f"MAX(CASE WHEN company = '{t}' THEN high END)", 2, f"high_{t}") for t in (1, 3, 7)) + """, COUNT(*) AS tickers
+FROM bars GROUP BY dt HAVING COUNT(*) FILTER (company IN ('1', '3', '7')) > 0""")
 _oracles["drop_empty_series"] = with_(BARS, """SELECT dt, MAX(CASE WHEN company = '1-URGENT' THEN close END)
 AS close_1 FROM bars GROUP BY dt""")
 _oracles["period_filter"] = with_(
@@ -311,6 +365,12 @@ _oracles["sink_roundtrip"] = with_(BARS, """SELECT company, CAST(YEAR(dt) AS INT
 COUNT(*) AS days, MAX(high) AS top FROM bars GROUP BY 1, 2""")
 
 
+_oracles["empty_guard"] = with_(
+    BARS, "SELECT company, COUNT(*) AS days, 1 AS first, 0 AS second FROM bars GROUP BY 1")
+_oracles["publish_replace"] = with_(BARS, """SELECT company, dt, open, high, low, close,
+CASE WHEN company = '5-LOW' THEN 2 ELSE 1 END * volume AS volume FROM bars WHERE dt >= DATE '1998-01-01'""")
+
+
 def _profile(source: str, columns: list[str]) -> str:
     return "\nUNION ALL\n".join(
         f"""SELECT '{source}' AS table_name, COUNT(*) AS row_count, CAST({len(columns)} AS BIGINT) AS column_count,
@@ -433,6 +493,70 @@ parts AS (SELECT *, CASE WHEN is_train THEN 'train' ELSE 'test' END AS part FROM
 seq AS (SELECT part, company, dt, {', '.join(_sequence(10, 'part, company', 'direction'))} FROM parts)""",
     f"SELECT part, company, dt, {_sequence_out()} FROM seq WHERE steps = 10")
 
+_oracles["sequence_store_digest"] = with_(f"""{_TARGETS}, placed AS (SELECT *, ROW_NUMBER() OVER ({BY_COMPANY}) AS i FROM targets),
+digests AS (SELECT t.company, t.dt, SUM((s.i - t.i + 61) * s.close) AS c, SUM((s.i - t.i + 61) * s.volume) AS v, ANY_VALUE(t.future) AS f
+  FROM placed t JOIN placed s ON s.company = t.company AND s.i BETWEEN t.i - 60 AND t.i - 1 WHERE t.i > 60 GROUP BY 1, 2)""",
+    f"SELECT company, dt, {rnd('c', 2, 'close_digest')}, {rnd('v', 2, 'volume_digest')}, {rnd('f', 6, 'target')} FROM digests")
+
+# The bars with sentiment, returns and averages of the experiments, their first 49 rows left out.
+_EXPERIMENT = f"""{SENTIMENT_BARS},
+means AS (SELECT company, dt, close, sentiment, {strict('AVG', 'close', 10)} AS m10, {strict('AVG', 'close', 20)} AS m20,
+  {change('close')} AS ret_1, ROW_NUMBER() OVER ({BY_COMPANY}) AS row FROM bars),
+complete AS (SELECT * FROM means WHERE row >= 50), {recent(365 * 7, 'complete')}"""
+_SETS = {"Return Sequence (No Sentiment)": 3, "Return Sequence + Sentiment": 4}
+
+
+def _sequence_sql(lookback: int) -> str:
+    """Sequences of scaled features as long rows: goal of row i, and input k (0 is the intercept) with its value."""
+    values = ", ".join(f"({k}, {x})" for k, x in enumerate(("ret", "m10", "m20", "sentiment")))
+    return f"""{_EXPERIMENT},
+returned AS (SELECT company, dt, m10, m20, sentiment, {change('close')} AS ret FROM recent),
+ahead AS (SELECT *, {lag('ret', -5)} AS future FROM returned),
+targets AS (SELECT *, ROW_NUMBER() OVER ({BY_COMPANY}) AS i, COUNT(*) OVER (PARTITION BY company) AS n
+  FROM ahead WHERE ret IS NOT NULL AND future IS NOT NULL),
+cuts AS (SELECT *, CAST(FLOOR((n - {lookback}) * CAST(0.8 AS DOUBLE)) AS BIGINT) AS train FROM targets),
+long AS (SELECT company, i, train, f, x FROM cuts, LATERAL (VALUES {values}) AS v(f, x)),
+edges AS (SELECT company, f, MIN(x) AS low, MAX(x) - MIN(x) AS width FROM long WHERE i <= train + {lookback - 1} GROUP BY 1, 2),
+scaled AS (SELECT company, i, f, (x - low) / CASE WHEN width = 0 THEN 1 ELSE width END AS x FROM long JOIN edges USING (company, f)),
+goals AS (SELECT company, dt, i, future, i <= {lookback} + train AS is_train FROM cuts WHERE i > {lookback})"""
+
+
+def _solved_sql(lookback: int) -> str:
+    """Normal equations and their elimination, one table per input: weights(company, model, place, weight)."""
+    parts = []
+    for m, (model, width) in enumerate(_SETS.items()):
+        size = lookback * width + 1
+        parts.append(f"""inputs{m} AS MATERIALIZED (
+  SELECT g.company, g.i, g.is_train, g.future, (g.i - s.i - 1) * {width} + s.f + 1 AS k, s.x
+  FROM goals g JOIN scaled s ON s.company = g.company AND s.i BETWEEN g.i - {lookback} AND g.i - 1 AND s.f < {width}
+  UNION ALL SELECT company, i, is_train, future, 0, 1 FROM goals),
+g{m}_0 AS MATERIALIZED (
+  SELECT a.company, a.k AS r, b.k AS c, SUM(a.x * b.x) + CASE WHEN a.k = b.k AND a.k > 0 THEN 1 ELSE 0 END AS v
+  FROM inputs{m} a JOIN inputs{m} b ON a.company = b.company AND a.i = b.i WHERE a.is_train GROUP BY 1, 2, 3
+  UNION ALL SELECT company, k, {size}, SUM(x * future) FROM inputs{m} WHERE is_train GROUP BY 1, 2)""")
+        for k in range(size):
+            parts.append(f"""g{m}_{k + 1} AS MATERIALIZED (
+  SELECT m.company, m.r, m.c, CASE WHEN m.r = {k} THEN m.v / p.v ELSE m.v - f.v * l.v / p.v END AS v
+  FROM g{m}_{k} m JOIN g{m}_{k} p ON p.company = m.company AND p.r = {k} AND p.c = {k}
+  JOIN g{m}_{k} l ON l.company = m.company AND l.r = {k} AND l.c = m.c
+  JOIN g{m}_{k} f ON f.company = m.company AND f.r = m.r AND f.c = {k})""")
+        parts.append(f"w{m} AS (SELECT company, '{model}' AS model, r AS place, v AS weight FROM g{m}_{size} WHERE c = {size})")
+    return ",\n".join(parts)
+
+
+_SHORT = f"{_sequence_sql(5)},\n{_solved_sql(5)}"
+_oracles["sequence_ridge"] = with_(_SHORT, f"""SELECT company, model, CAST(place AS BIGINT) AS place, {rnd('weight', 6, 'weight')}
+FROM (SELECT * FROM w0 UNION ALL SELECT * FROM w1)""")
+_oracles["sequence_results_short"] = with_(f"""{_SHORT}, guesses AS (""" + " UNION ALL ".join(
+    f"""SELECT i.company, '{model}' AS model, i.i, ANY_VALUE(future) AS y_true, SUM(x * weight) AS y_pred
+  FROM inputs{m} i JOIN w{m} ON w{m}.company = i.company AND place = k WHERE NOT is_train GROUP BY 1, 2, 3"""
+    for m, model in enumerate(_SETS)) + ")", f"""SELECT company AS "Company", model AS "Model",
+{rnd('AVG(CAST(SIGN(y_true) = SIGN(y_pred) AS DOUBLE)) * 100', 2, 'DA (%)')}, {rnd('AVG(ABS(y_true - y_pred))', 6, 'MAE')},
+{rnd('SQRT(AVG((y_true - y_pred) * (y_true - y_pred)))', 6, 'RMSE')} FROM guesses GROUP BY 1, 2""")
+_oracles["sequence_ridge_optimality"] = with_(_sequence_sql(60), """SELECT company, model, COUNT(*) FILTER (is_train) AS train_sequences,
+COUNT(*) FILTER (NOT is_train) AS test_sequences, 1 AS optimal
+FROM goals CROSS JOIN (VALUES ('Return Sequence (No Sentiment)'), ('Return Sequence + Sentiment')) AS m(model) GROUP BY 1, 2""")
+
 # --- Measures ---------------------------------------------------------------------------------
 
 PREDICTIONS = f"""{BARS},
@@ -491,6 +615,7 @@ scores AS (SELECT feature, (SUM(n * (mean - grand) * (mean - grand)) / (COUNT(*)
 _oracles["feature_importance"] = with_(_IMPORTANCE, f"""SELECT feature, {rnd('score', 4, 'score')},
 CAST(ROW_NUMBER() OVER (ORDER BY score DESC, feature) <= 3 AS INTEGER) AS selected FROM scores""")
 
+_oracles["importance_file"] = _oracles["feature_importance"]
 
 _oracles["score_latest_rows"] = with_(BARS, "SELECT company, MAX(dt) AS dt, 1 AS scored FROM bars GROUP BY company")
 
@@ -504,5 +629,17 @@ placed AS (SELECT company, future, ROW_NUMBER() OVER (PARTITION BY company ORDER
 FROM placed WHERE position <= FLOOR(n * CAST(0.8 AS DOUBLE)) GROUP BY company""")
 
 
+_oracles["logistic_grid_optimality"] = with_(
+    "one AS (" + _oracles["logistic_optimality"] + ")",
+    "SELECT one.*, model, CAST(0 AS BIGINT) AS stray_weights FROM one CROSS JOIN (VALUES ('one'), ('two'), ('three'), ('none')) AS m(model)")
+_oracles["logistic_results_rows"] = with_(f"""{_EXPERIMENT},
+labelled AS (SELECT company, dt, {lag('ret_1', -5)} AS future FROM recent),
+spots AS (SELECT company, future, ROW_NUMBER() OVER ({BY_COMPANY}) AS i, COUNT(*) OVER (PARTITION BY company) AS n
+  FROM labelled WHERE future IS NOT NULL)""", """SELECT company, model, COUNT(*) AS test_rows,
+COUNT(*) FILTER (future > 0) AS rises, COUNT(*) AS scored, COUNT(*) AS told
+FROM spots CROSS JOIN (VALUES ('Logistic (No Sentiment)'), ('Logistic + Sentiment')) AS m(model)
+WHERE i > FLOOR(n * CAST(0.8 AS DOUBLE)) GROUP BY 1, 2""")
+
+
 def all_oracles() -> dict[str, str]:
     return dict(_oracles)

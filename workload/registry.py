@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators import (
-    clean, display, labels, metrics, models, news, profile, reshape, scaling, sentiment, splits,
-    technical, windows,
+    clean, display, labels, lagged, metrics, models, news, profile, reshape, scaling, sentiment, splits,
+    technical, walks, wide, windows,
 )
 from tidemark.operators.indicator import Indicator, apply_indicators
-from tidemark.plans import experiments
+from tidemark.plans import experiments, sequences as sequence_plans
 from tidemark.plans.features import feature_table, merge_prices_and_sentiment
 from tidemark.plans.staging import stored
 from tidemark.session import scratch_folder
-from tidemark.sources import bars_csv, tables
+from tidemark.sources import bars_csv, published, tables
 from workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +107,28 @@ def macd_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _series(df, {name: DIGITS[name] for name in technical.macd.outputs})
 
 
+@query
+def ema_long_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recursive averages with spans far above a segment's rows."""
+    df = technical.exponential_average(views.bars(spark, sf_dir), 10_000, segment_rows=250)
+    return _series(technical.exponential_average(df, 500, segment_rows=250), {"EMA_10000": MEANS, "EMA_500": MEANS})
+
+
+@query
+def macd_long_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slow MACD whose states are handed on from segment to segment."""
+    df = technical.long_macd(views.bars(spark, sf_dir), 120, 260, 90, segment_rows=300)
+    return _series(df, {name: MEANS for name in ("MACD", "MACD_Signal", "MACD_Hist")})
+
+
+@query
+def drawdown_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indicators with a state of their own, carried over segment borders."""
+    df = walks.drawdown(views.bars(spark, sf_dir), segment_rows=300)
+    df = walks.rising_rows(df, segment_rows=300)
+    return rounded(df, {"Drawdown": RATIOS}, "company", "dt", "Rows_Since_Peak", "Rising_Rows")
+
+
 @query
 def ticks_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Moving averages at the events' own times, with days too dense for a segment."""
@@ -144,6 +168,27 @@ def daily_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _series(_daily(spark, sf_dir), {"sentiment": RATIOS})
 
 
+# Phrases of the test documents' own words, some of them parts of others.
+PHRASES = {
+    "the": 0.1, "the and": -0.4, "the and attion to": 0.9, "of the": 0.5, "of the of": -0.6, "to the": 0.3, "is the": -0.2,
+    "rest": 0.1, "heed": 0.2, "for the": 0.4, "a": -0.1, "in the a": -0.7,
+}
+
+
+@query
+def phrase_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polarity by the longest phrases of a landed lexicon, negated within a clause.
+
+    The documents know no negations, so two of their words are taken for one and for an intensifier.
+    """
+    path = scratch_folder(spark, "lexicon")
+    rows = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{phrase}', {value}D)" for phrase, value in PHRASES.items()) + " AS l(word, polarity)")
+    rows.write.option("header", True).csv(path)
+    text = F.replace(F.replace("title", F.lit(" that "), F.lit(" not ")), F.lit(" with "), F.lit(" very "))
+    scored = news.score_text(views.news(spark, sf_dir).withColumn("title", text), tables.read_lexicon(spark, path), clauses=True)
+    return rounded(scored, {"sentiment": RATIOS}, "article_id", "company", "published_at")
+
+
 @query
 def news_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = views.news(spark, sf_dir).where(F.col("lang") == "en")
@@ -200,6 +245,16 @@ def optional_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
                    {"close": PRICES, "sentiment": RATIOS})
 
 
+@query
+def sentiment_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join with a sentiment table that is there: written, found and read under its stored names."""
+    path = scratch_folder(spark, "news_sentiment")
+    named = _daily(spark, sf_dir).withColumnsRenamed({"company": "ticker", "dt": "date"})
+    tables.write_table(named, path, sort_by=("ticker", "date"))
+    return _series(sentiment.join_sentiment(views.bars(spark, sf_dir), tables.read_optional(spark, path)),
+                   {"close": PRICES, "sentiment": RATIOS})
+
+
 @query
 def sentiment_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = sentiment.sentiment_windows(_bars_with_sentiment(spark, sf_dir))
@@ -297,6 +352,26 @@ def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.to_long(wide.drop("5-LOW|Volume"))
 
 
+@query
+def wide_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier's bars as a wide table in blocks of columns, and back."""
+    bars = views.bars_supplier(spark, sf_dir)
+    names = wide.dictionary(bars, block=16)
+    table = stored(wide.to_blocks(bars, names))
+    return rounded(wide.from_blocks(table, names), {"open": PRICES, "high": PRICES, "low": PRICES, "close": MEANS, "volume": PRICES}, "company", "dt")
+
+
+@query
+def wide_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tickers' columns out of the blocks, and on how many tickers' bars each day rests."""
+    bars = views.bars_supplier(spark, sf_dir)
+    names = wide.dictionary(bars, block=16)
+    table = stored(wide.to_blocks(bars, names))
+    few = wide.columns_of(table, names, ["1", "3", "7"], ["high"])
+    present = table.groupBy("dt").agg(F.sum(F.aggregate("high", F.lit(0), lambda n, x: n + F.when(x.isNotNull(), 1).otherwise(0))).alias("tickers"))
+    return few.join(present, "dt").select("dt", *(F.round(f"`{t}|High`", PRICES).alias(f"high_{t}") for t in ("1", "3", "7")), "tickers")
+
+
 @query
 def drop_empty_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listed ticker without any bar leaves no columns."""
@@ -324,6 +399,39 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         .option("header", True).csv(result_path)
 
 
+@query
+def empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that an empty result must not replace: the older rows, and whether anything was written."""
+    path = scratch_folder(spark, "guarded")
+    bars = views.bars(spark, sf_dir)
+    first = tables.write_table(bars, path, skip_empty=True)
+    second = tables.write_table(bars.where("volume < 0"), path, skip_empty=True)
+    return tables.read_table(spark, path).groupBy("company").agg(F.count(F.lit(1)).alias("days")).withColumns(
+        {"first": F.lit(int(first)), "second": F.lit(int(second))})
+
+
+@query
+def importance_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The small table of feature scores through its CSV file."""
+    path = scratch_folder(spark, "importance")
+    scored = feature_importance(spark, sf_dir).withColumn("selected", F.col("selected") == 1)
+    tables.write_results(scored, path)
+    return tables.read_importance(spark, path).withColumn("selected", F.col("selected").cast("int"))
+
+
+@query
+def publish_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published table replaced by rows read from itself, then one company of it by others."""
+    path = scratch_folder(spark, "published")
+    published.publish(views.bars(spark, sf_dir), path, partition_by="company")
+    kept = published.read_published(spark, path).where(F.col("dt") >= F.lit("1998-01-01").cast("date"))
+    published.publish(kept, path, partition_by="company")
+    doubled = published.read_published(spark, path).where(F.col("company") == "5-LOW").withColumn("volume", F.col("volume") * 2)
+    published.publish(doubled, path, partition_by="company", replace=False)
+    published.clear_old(spark, path)
+    return published.read_published(spark, path)
+
+
 @query
 def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = profile.profile_table(views.bars(spark, sf_dir), "bars", "company")
@@ -490,6 +598,23 @@ def sequences_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_sequences(built, "part", "company")
 
 
+@query
+def sequence_store_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences read as views of chunks with a halo; each step counts with its place, so their order shows."""
+    store = stored(sequence_plans.sequence_store(_sequence_input(spark, sf_dir), ["close", "volume"], chunk_rows=200))
+    steps = np.arange(1.0, labels.LOOKBACK + 1)
+
+    def digest(chunk: sequence_plans.Chunk):
+        numbers = np.einsum("nsf,s->nf", chunk.x, steps)
+        names = pa.array([chunk.row["company"]] * len(chunk.y), pa.string())
+        yield pa.RecordBatch.from_arrays([names, chunk.times, pa.array(numbers[:, 0]), pa.array(numbers[:, 1]), pa.array(chunk.y)],
+                                         ["company", "dt", "close_digest", "volume_digest", "target"])
+
+    read = sequence_plans.map_sequences(store, digest, "company string, dt date, close_digest double, volume_digest double, target double",
+                                        ["close", "volume"])
+    return _series(read, {"close_digest": PRICES, "volume_digest": PRICES, "target": RATIOS})
+
+
 # --- Models and measures ------------------------------------------------------------------
 
 @query
@@ -553,6 +678,49 @@ def sequence_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return experiments.sequence_experiment(_averages(spark, sf_dir))
 
 
+# A short sequence, whose regression SQL can solve as well.
+SHORT_LOOKBACK = 5
+
+
+@query
+def sequence_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The coefficients of every company's regression on sequences, without and with sentiment."""
+    store, sets = experiments.sequence_inputs(_averages(spark, sf_dir), lookback=SHORT_LOOKBACK)
+    fitted = lagged.lagged_ridge(store, sets, lookback=SHORT_LOOKBACK)
+    rows = fitted.select("company", "model", F.posexplode(F.concat(F.array("intercept"), "weights")).alias("place", "weight"))
+    return rounded(rows.withColumn("place", F.col("place").cast("long")), {"weight": RATIOS}, "company", "model", "place")
+
+
+@query
+def sequence_results_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The results of the regressions on short sequences, judged per company."""
+    return experiments.sequence_experiment(_averages(spark, sf_dir), lookback=SHORT_LOOKBACK)
+
+
+@query
+def sequence_ridge_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per company and model: sequences trained on and held out, and whether the fit on 60 steps is a minimum.
+
+    The slopes are taken along the sequences themselves, not from the sums the fit was made of.
+    """
+    store, sets = experiments.sequence_inputs(_averages(spark, sf_dir))
+    fitted = stored(lagged.lagged_ridge(store, sets))
+    features = sets["Return Sequence + Sentiment"]
+    errors = lagged.predicted(store, fitted, sets, train=True).select("company", "dt", "model", (F.col("y_pred") - F.col("y_true")).alias("error"))
+    steps = sequence_plans.expanded(store, features).join(stored(errors), ["company", "dt"])
+    slopes = steps.select("company", "model", "error", F.posexplode(F.flatten("sequence")).alias("at", "x")).groupBy("company", "model", "at").agg(
+        F.sum(F.col("error") * F.col("x")).alias("slope"), F.sum("error").alias("level"), F.count(F.lit(1)).alias("n"))
+    # Weights go from the newest step back, sequences from the oldest on; a set holds the first of the features.
+    width = F.when(F.col("model") == "Return Sequence + Sentiment", len(features)).otherwise(len(features) - 1)
+    feature, lag = F.col("at") % len(features), labels.LOOKBACK - 1 - F.floor(F.col("at") / len(features))
+    weight = F.get("weights", (lag * width + feature).cast("int"))
+    steep = slopes.join(fitted, ["company", "model"]).where(feature < width).groupBy("company", "model").agg(
+        F.max("n").alias("train_sequences"), F.max(F.abs(F.col("slope") + weight)).alias("slope"), F.max(F.abs("level")).alias("level"))
+    tested = lagged.predicted(store, fitted, sets).groupBy("company", "model").agg(F.count(F.lit(1)).alias("test_sequences"))
+    return steep.join(tested, ["company", "model"]).select(
+        "company", "model", "train_sequences", "test_sequences", (F.greatest("slope", "level") < 1e-6).cast("int").alias("optimal"))
+
+
 @query
 def sequence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Next-day direction of all companies from ten standardised steps."""
@@ -576,6 +744,21 @@ def score_latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_latest(spark, sf_dir).select("company", "dt", F.col("trend").isNotNull().cast("int").alias("scored"))
 
 
+def _slopes(train: DataFrame, fits: DataFrame, features: list[str], sets: dict[str, list[str]]) -> DataFrame:
+    """Per company and model: rows, rises, and whether the slope of the penalised loss is zero at the weights."""
+    each = F.array(*(F.struct(F.lit(name).alias("model"), F.get("weights", F.lit(s)).alias("w"),
+                              F.array(*(F.lit(float(f in chosen)) for f in features)).alias("used"))
+                     for s, (name, chosen) in enumerate(sets.items())))
+    rows = train.join(fits, "company").select("company", "label", *features, F.inline(each))
+    w = [F.get("w", F.lit(i)) for i in range(len(features) + 1)]
+    z = sum((w[i] * F.col(name) for i, name in enumerate(features)), w[-1])
+    rows = rows.withColumn("error", 1 / (1 + F.exp(-z)) - F.col("label"))
+    slopes = [F.sum(F.col("error") * F.col(name) * F.get("used", F.lit(i))) + F.any_value(w[i]) for i, name in enumerate(features)]
+    return rows.groupBy("company", "model").agg(
+        F.count(F.lit(1)).alias("train_rows"), F.sum("label").alias("rises"),
+        (F.greatest(*map(F.abs, slopes), F.abs(F.sum("error"))) < 1e-6).cast("int").alias("optimal"))
+
+
 @query
 def logistic_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per company: training rows, rises among them, and whether the fit's slope is zero."""
@@ -583,10 +766,34 @@ def logistic_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = technical.returns_and_momentum(views.bars(spark, sf_dir)).select("company", "dt", *features)
     split = stored(splits.by_position(labels.direction_label(rows.dropna()).withColumnRenamed("Target", "label")))
     train = stored(scaling.min_max(split, features, F.col("is_train"), by=["company"]).where("is_train"))
-    weights = models.logistic_weights(train, features)
-    w = [F.get("weights", F.lit(i)) for i in range(3)]
-    error = 1 / (1 + F.exp(-(w[0] * F.col(features[0]) + w[1] * F.col(features[1]) + w[2]))) - F.col("label")
-    slopes = [F.sum(error * F.col(name)) + F.any_value(w[i]) for i, name in enumerate(features)] + [F.sum(error)]
-    return train.join(weights, "company").groupBy("company").agg(
-        F.count(F.lit(1)).alias("train_rows"), F.sum("label").alias("rises"),
-        (F.greatest(*map(F.abs, slopes)) < 1e-6).cast("int").alias("optimal"))
+    fits = models.logistic_weights(train, features).select("company", F.array("weights").alias("weights"))
+    return _slopes(train, fits, features, {"all": features}).drop("model")
+
+
+@query
+def logistic_grid_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for four sets of features at once, each with zero weight for the features outside it."""
+    features = ["Return_1", "close", "volume"]
+    sets = {"one": ["close"], "two": ["volume", "Return_1"], "three": features, "none": []}
+    rows = technical.returns_and_momentum(views.bars(spark, sf_dir)).select("company", "dt", *features)
+    split = stored(splits.by_position(labels.direction_label(rows.dropna()).withColumnRenamed("Target", "label")))
+    train = stored(scaling.min_max(split, features, F.col("is_train"), by=["company"]).where("is_train"))
+    fits = stored(models.logistic_grid(train, sets))
+    order = list(dict.fromkeys(f for chosen in sets.values() for f in chosen))
+    outside = [F.when(F.get(F.get("weights", F.lit(s)), F.lit(i)) != 0, 1).otherwise(0)
+               for s, chosen in enumerate(sets.values()) for i, f in enumerate(order) if f not in chosen]
+    strays = fits.select("company", sum(outside[1:], outside[0]).cast("long").alias("stray_weights"))
+    return _slopes(train, fits, order, sets).join(strays, "company")
+
+
+@query
+def logistic_results_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the experiment's rows stand on: held-out rows per company and model, rises among them, and scores between 0 and 1."""
+    table = _averages(spark, sf_dir)
+    labelled = labels.direction_label(windows.recent_years(table.select("company", "dt", "Return_1", "MA_10", "MA_20", "sentiment"), experiments.YEARS))
+    split = stored(splits.by_position(labelled.dropna()))
+    sets = {"Logistic (No Sentiment)": ["Return_1", "MA_10", "MA_20"], "Logistic + Sentiment": ["Return_1", "MA_10", "MA_20", "sentiment"]}
+    scored = models.logistic_scores(split, sets)
+    return scored.groupBy("company", "model").agg(
+        F.count(F.lit(1)).alias("test_rows"), F.sum("label").alias("rises"), F.count_if((F.col("prob") > 0) & (F.col("prob") < 1)).alias("scored"),
+        F.count_if(F.col("prediction") == (F.col("prob") > 0.5).cast("int")).alias("told"))
