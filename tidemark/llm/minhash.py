@@ -2,10 +2,13 @@
 
 Documents of the same shingle set are one class, so thousands of copies cost one signature in the
 search. A class enters one bucket per band of its signature. In every bucket the members are first
-compared with a centre, a few times over, which ties groups of near copies together; after that
-only members of different components of a bucket are paired, in blocks of bounded size, so a group
-of copies never gives all its pairs. A signature only rules pairs out, far below the threshold; links are
-confirmed on the full shingle sets.
+compared with a centre, a few times over, which ties groups of near copies together. Of the members
+of a bucket that are still in different components, blocks of bounded size say by their signatures
+which components may be linked at all, in as few pairs as join them. Components that hang together in
+this way are a cluster, and only there, again in blocks of bounded size, full shingle sets are compared.
+A block returns no more links than it takes to join its components, so a group of copies never gives
+all its pairs. A signature only rules pairs out, far below the threshold; links are confirmed on the
+full shingle sets.
 """
 
 from __future__ import annotations
@@ -19,12 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.components import components
-from tidemark.plans.staging import stored
+from tidemark.plans.staging import broadcast_if_small, stored
 
 # 32 bands of 4 values: a pair at similarity 0.75 misses every band with probability 5e-6.
 SLOTS, ROWS = 128, 4
-# Members of a bucket that are compared at a time.
-BLOCK = 128
+# Members that are compared at a time, and shingles that may lie in a block of them.
+BLOCK, BLOCK_SHINGLES = 1024, 2**21
+# Ids of wanted documents that are sent to every task; more of them meet the texts by a shuffle.
+SENT_IDS = 2_000_000
 # Elements whose permutations are in memory at a time.
 SLICE = 65_536
 # Standard deviations by which a signature must fall short before it rules a pair out.
@@ -121,21 +126,38 @@ def _least(slots: int, share: float) -> int:
     return ceil(slots * share - SLACK * sqrt(slots * share * (1 - share)))
 
 
-def _paired(group: pa.Table, percent: int) -> pa.Table:
-    """Pairs of two blocks of a bucket whose members are in different components and plausible."""
+def _forest(group: pa.Table, percent: int, exact: bool) -> pa.Table:
+    """Pairs that join the components of two blocks' members, no more of them than that takes.
+
+    By signatures alone the pairs are of components that may be linked. With ``exact`` they are of
+    members that share a band and whose full sets are similar enough.
+    """
     ids, sizes, component = (group[c].to_numpy() for c in ("id", "n", "component"))
     short = np.frombuffer(b"".join(group["signature"].to_pylist()), "<u2").reshape(len(ids), -1)
-    side = group["side"].to_numpy()
+    bands = np.ascontiguousarray(short).view("<u8").reshape(len(ids), -1)
+    side, (_, tree) = group["side"].to_numpy(), np.unique(component, return_inverse=True)
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    inside = not len(right)
-    right = left if inside else right
+    right = right if len(right) else left
     least, found = _least(short.shape[1], percent / 100), []
+    sets = [x.values.to_numpy() for x in group["shingles"]] if exact else []
     for i in left:
-        ok = (component[right] != component[i]) & ((short[right] == short[i]).sum(axis=1) >= least)
-        ok &= 100 * np.minimum(sizes[right], sizes[i]) >= percent * np.maximum(sizes[right], sizes[i])
-        found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in right[ok]]
-    pairs = np.array(sorted(set(found)), np.int64).reshape(-1, 2)
-    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+        others = right[tree[right] != tree[i]]
+        others = others[100 * np.minimum(sizes[others], sizes[i]) >= percent * np.maximum(sizes[others], sizes[i])]
+        if exact:
+            others = others[(bands[others] == bands[i]).any(axis=1)]
+        agreed = (short[others] == short[i]).sum(axis=1)
+        for j in others[agreed >= least][np.argsort(-agreed[agreed >= least], kind="stable")]:
+            if tree[j] == tree[i] or (exact and not _linked(sets[i], sets[j], percent)):
+                continue
+            tree[tree == tree[j]] = tree[i]
+            found.append((ids[i], ids[j]) if exact else (component[i], component[j]))
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pa.table({"a": pa.array(pairs.min(axis=1)), "b": pa.array(pairs.max(axis=1))})
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
@@ -166,11 +188,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
                                               F.col("signature").alias(f"s{side}")), side)
         return pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b", "sa", "sb")
 
+    # Only where rows repeat an id can a set be met twice.
+    repeats = not described.groupBy("id").count().where("count > 1").isEmpty()
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """id, digest, shingles of the documents named; texts are shuffled only if the ids are too many to be sent to them."""
+        wanted = broadcast_if_small(stored(ids.distinct(), "wanted"), SENT_IDS)
+        sets = read.join(wanted, "id").mapInArrow(lambda rows: _sets(rows, words), "id long, digest binary, shingles array<long>")
+        return stored(sets.dropDuplicates(["id", "digest"]) if repeats else sets, "sets")
+
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar enough."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        sets = stored(read.join(wanted, "id").mapInArrow(
-            lambda rows: _sets(rows, words), "id long, shingles array<long>").distinct(), "sets")
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))
         for side in ("a", "b"):
             pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("shingles").alias(f"s{side}")), side)
         both = F.size(F.array_intersect("sa", "sb"))
@@ -190,7 +219,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         more = verified(ruled_in(_with_centre(open_members, number)))
         links = more if links is None else links.union(more)
     else:
-        links = links.union(verified(_across(_open(members, components(links)), classes, percent)))
+        open_members = _open(members, components(links))
+        may = stored(_across(open_members.join(classes.select("id", "n", "signature"), "id"), "bucket", percent, False), "may")
+        # Components that may be linked, directly or through others, make up a cluster.
+        clusters = components(may).select(F.col("id").alias("component"), F.col("component").alias("cluster"))
+        inside = stored(open_members.select("id", "component").distinct().join(clusters, "component"), "inside")
+        full = inside.join(classes, "id").join(sets_of(inside.select("id")), ["id", "digest"])
+        links = links.union(stored(_across(full, "cluster", percent, True), "links"))
     found = components(links) if links is not None else None
     if found is None:
         found = members.select("id", F.col("id").alias("component")).limit(0)
@@ -209,8 +244,10 @@ def _sets(batches, words):
         sets = [shingles(value.as_py(), words).view(np.int64) for value in batch.column(1)]
         ends = np.cumsum([0, *map(len, sets)])
         values = np.concatenate([np.empty(0, np.int64), *sets])
+        digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], ["id", "shingles"])
+            [batch.column(0), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))],
+            ["id", "digest", "shingles"])
 
 
 def _open(members: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -234,29 +271,27 @@ def _with_centre(labelled: DataFrame, number: int) -> DataFrame:
     return paired.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
 
 
-def _across(labelled: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Plausible pairs of bucket members that are still in different components.
+def _across(labelled: DataFrame, by: str, percent: int, exact: bool) -> DataFrame:
+    """a, b: what ``_forest`` finds among the members of each ``by`` that are in different components.
 
-    The members outside the bucket's main component are paired with each other and with those
-    inside, in blocks; the latter are never paired with each other.
+    The members outside the group's main component are compared with each other and with those inside,
+    in blocks; the latter are never compared with each other. Blocks are bounded by members and, where full
+    sets lie in them, by shingles.
     """
-    sizes = labelled.groupBy("bucket", "component").agg(F.count("id").alias("n"))
-    counted = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("n").alias("size"))
-    rest = labelled.join(counted, "bucket").where("component != main").groupBy("bucket").agg(F.count("id").alias("outside"))
-    sides = labelled.join(counted.join(rest, "bucket"), "bucket").withColumn("inside", F.col("component") == F.col("main"))
-    blocks = sides.select(
-        "bucket", "id", "component", "inside",
-        F.ceil(F.col("outside") / BLOCK).cast("int").alias("k_out"),
-        F.ceil((F.col("size") - F.col("outside")) / BLOCK).cast("int").alias("k_in"))
-    own = F.when(F.col("inside"), F.pmod(F.xxhash64("id"), "k_in")).otherwise(F.pmod(F.xxhash64("id"), "k_out")).cast("int")
+    weight = F.greatest(F.lit(1 / BLOCK), F.col("n") / BLOCK_SHINGLES) if exact else F.lit(1 / BLOCK)
+    sizes = labelled.groupBy(by, "component").agg(F.sum(weight).alias("blocks"))
+    counted = sizes.groupBy(by).agg(F.max(F.struct("blocks", "component")).alias("top"), F.sum("blocks").alias("blocks"),
+                                    F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    counted = counted.select(by, F.col("top.component").alias("main"), F.ceil("top.blocks").cast("int").alias("k_in"),
+                             F.greatest(F.ceil(F.col("blocks") - F.col("top.blocks") - 1e-9), F.lit(1)).cast("int").alias("k_out"))
+    sides = labelled.join(counted, by).withColumn("inside", F.col("component") == F.col("main"))
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("inside"), F.col("k_in")).otherwise(F.col("k_out"))).cast("int")
     # Inside members meet every outside block. Outside members meet every inside block, and the outside
     # blocks up to their own as the right side, from their own on as the left.
     place = F.when(F.col("inside"), F.expr("transform(sequence(0, k_out - 1), i -> struct(i AS l, -own - 1 AS r, 1 AS side))")).otherwise(
         F.expr("concat(transform(sequence(0, k_in - 1), i -> struct(own AS l, -i - 1 AS r, 0 AS side)),"
                " transform(sequence(own, k_out - 1), i -> struct(own AS l, i AS r, 0 AS side)),"
                " transform(filter(sequence(0, own), i -> i < own), i -> struct(i AS l, own AS r, 1 AS side)))"))
-    spread = blocks.withColumn("own", own).select("bucket", "id", "component", F.explode(place).alias("p")).select(
-        "bucket", "id", "component", "p.l", "p.r", "p.side")
-    full = spread.join(classes.select("id", "n", "signature"), "id")
-    return stored(full.groupBy("bucket", "l", "r").applyInArrow(
-        lambda group: _paired(group, percent), "a long, b long").distinct(), "across")
+    kept = [by, "id", "component", "n", "signature", *(["shingles"] if exact else [])]
+    spread = sides.withColumn("own", own).select(*kept, F.explode(place).alias("p")).select(*kept, "p.l", "p.r", "p.side")
+    return spread.groupBy(by, "l", "r").applyInArrow(lambda group: _forest(group, percent, exact), "a long, b long").distinct()
