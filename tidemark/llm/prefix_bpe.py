@@ -29,7 +29,7 @@ from tokenizers import Tokenizer
 
 # Words, and pairs of tokens, that a task remembers before it starts afresh.
 REMEMBERED = 200_000
-# Documents that are decoded at a time.
+# Documents that are encoded or decoded at a time.
 SLICE = 200
 # Texts beyond so many characters are cut at white space before their words are listed.
 LONG_TEXT = 1_000_000
@@ -236,7 +236,7 @@ def encode(docs: DataFrame, tokenizer: bytes, key: str = "doc_id", text: str = "
 
     def rows(batches):
         encoder = _encoder(shared.value)
-        for batch in batches:
+        for batch in (whole.slice(start, SLICE) for whole in batches for start in range(0, whole.num_rows, SLICE)):
             ids = [encoder.encode(text.as_py() or "") for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["id", "n_tokens", "ids"])
