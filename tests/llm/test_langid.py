@@ -52,3 +52,30 @@ def test_long_texts_are_read_in_pieces(trained, monkeypatch):
     whole = model.logits(text)
     monkeypatch.setattr(langid, "PIECE", 500)
     assert abs(model.logits(text) - whole).max() < 0.05
+
+
+# Languages that the documents are not in, by script.
+UNSEEN = {
+    "russian": "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему",
+    "chinese": "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏閏餘成歲律呂調陽",
+    "greek": "Ξεσκεπάζω την ψυχοφθόρα βδελυγμία και τρώω το φαγητό μου κάθε μέρα",
+    "arabic": "كان يا ما كان في قديم الزمان ملك عظيم يحكم بلادا واسعة",
+    "finnish": "Yhdeksän päivää myöhemmin hän käveli yksin jäätyneen järven yli kohti kylää, jossa hänen äitinsä yhä asui",
+    "hungarian": "Egyszer volt, hol nem volt, volt egyszer egy szegény ember, akinek három fia és egy öreg szamara volt",
+}
+
+
+def test_unseen_languages_are_rejected(spark, trained):
+    docs, model = trained
+    rejected = {name: model.judge(text * 3)[2] for name, text in UNSEEN.items()}
+    assert all(rejected[name] for name in ("russian", "chinese", "greek", "arabic")), rejected
+    assert sum(rejected.values()) >= 5, rejected
+    held = langid.predict(docs, model).where("held_out AND lang_pred != 'und'").collect()
+    assert sum(r["rejected"] for r in held) <= 2 * langid.REJECTED * len(held) + 1
+
+
+def test_new_grams_count_in_long_texts_of_pieces(trained, monkeypatch):
+    _, model = trained
+    text = (UNSEEN["russian"] + " ") * 30
+    monkeypatch.setattr(langid, "PIECE", 200)
+    assert model.judge(text)[2] and model._read(text)[1] > 0.9
