@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from helpers import CASES, documents
 
@@ -58,5 +59,36 @@ def test_differing_branch_is_located(spark):
     def digest(x):
         return hashlib.md5(x.encode()).hexdigest()
 
-    sections = [digest("".join(digest(p) for p in s.split("\n"))) for s in a.split("\n\n")]
+    # None of these paragraphs is cut, so each has one phrase.
+    sections = [digest("".join(digest(digest(p)) for p in s.split("\n"))) for s in a.split("\n\n")]
     assert found.first()["r"] == hashlib.sha256("".join(sections).encode()).hexdigest()
+
+
+SCRIPTS = {
+    "latin": "The quick brown fox jumps over the lazy dog and runs into the deep wood again", "capitals": "ALL OF THIS IS WRITTEN IN CAPITALS WITHOUT ANY STOP",
+    "chinese": "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏閏餘成歲律呂調陽雲騰致雨露結為霜", "cyrillic": "СЪЕШЬ ЖЕ ЕЩЁ ЭТИХ МЯГКИХ ФРАНЦУЗСКИХ БУЛОК",
+    "greek": "Ξεσκεπάζω την ψυχοφθόρα βδελυγμία", "digits": "3141592653589793238462643383279502884197",
+}
+
+
+def test_likeness_in_any_script(spark):
+    # A long paragraph without marks, whose last quarter is replaced by something else.
+    rows = []
+    for i, text in enumerate(SCRIPTS.values()):
+        parts, draw = text.split(" ") if " " in text else list(text), random.Random(i)
+        long = (" " if " " in text else "").join(draw.choice(parts) for _ in range(400))
+        rows += [(2 * i, long), (2 * i + 1, "~" * len(long))]
+    got = {r["id"]: r for r in compared(spark, rows)}
+    for i, name in enumerate(SCRIPTS):
+        assert 0.5 < got[2 * i]["near_edited"] < 1, name
+        assert got[2 * i]["near_next"] < 0.1, name
+
+
+def test_an_insertion_changes_few_leaves(spark):
+    words = [f"{'bcdfg'[i % 5]}{'aeiou'[i % 7 % 5]}{i * i % 97}n" for i in range(600)]
+    a = " ".join(words)
+    b = " ".join([*words[:100], "something", "new", *words[100:]])
+    table = spark.createDataFrame([(a, b, "汉" * 100 + a)], "a string, b string, c string")
+    near = table.select(fingerprints.likeness(fingerprints.leaves(table.a), fingerprints.leaves(table.b)).alias("b"),
+                        fingerprints.likeness(fingerprints.leaves(table.a), fingerprints.leaves(table.c)).alias("c")).first()
+    assert near["b"] > 0.95 and near["c"] > 0.9

@@ -1,10 +1,11 @@
 """Merkle trees of documents: sections of paragraphs of phrases, as Column expressions.
 
-A paragraph's node is the digest of its text, a section's node the digest of its paragraphs' nodes,
-and the root the digest of the sections' nodes: equal roots mean equal texts, and a branch that
-differs shows where. Below the paragraphs lie phrases, cut at punctuation and after words with
-common endings, so the cuts move with the text and an insertion changes the phrases around it only;
-the likeness of two documents is the share of phrases they have in common.
+A phrase's node is the digest of its text, a paragraph's node the digest of its phrases' nodes, a
+section's of its paragraphs' nodes, and the root's of the sections' nodes: equal roots mean equal texts,
+and a branch that differs shows where. Phrases are cut where the text itself says so: at punctuation,
+behind words with common endings, behind some of the Chinese characters, and anyhow after 64
+characters. So the cuts move with the text, and an insertion changes the phrases around it only; the
+likeness of two documents is the share of these lowest nodes that their trees have in common.
 """
 
 from __future__ import annotations
@@ -12,14 +13,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SECTION, PARAGRAPH = "\n\n", "\n"
-# A phrase ends behind punctuation, or behind a space after one of these letters.
-PHRASE = r"(?s).*?(?:[\n.,;:!?|]|[aeionst] )|.+"
+# A phrase ends behind these signs, behind a space after one of these letters, behind a character of
+# some ranges of scripts without spaces, or with its 64th character.
+PHRASE = (r"(?s).{0,63}?(?:[.,;:!?|。、，；：！？।؟،]|[aeionstAEIONSTаеиностАЕИНОСТ] "
+          r"|[\x{3040}-\x{304F}\x{30A0}-\x{30AF}\x{4E00}-\x{50FF}\x{6000}-\x{62FF}\x{7500}-\x{77FF}\x{8C00}-\x{8EFF}])|.{64}|.+")
+
+
+def _cut(paragraph: Column) -> Column:
+    return F.regexp_extract_all(paragraph, F.lit(PHRASE), F.lit(0))
 
 
 def tree(text: Column) -> Column:
     """ARRAY<ARRAY<STRING>>: the paragraph nodes of each section; a null text is an empty one."""
     sections = F.split(F.coalesce(text, F.lit("")), SECTION)
-    return F.transform(sections, lambda s: F.transform(F.split(s, PARAGRAPH), F.md5))
+    node = lambda p: F.md5(F.array_join(F.transform(_cut(p), F.md5), ""))
+    return F.transform(sections, lambda s: F.transform(F.split(s, PARAGRAPH), node))
 
 
 def root(nodes: Column) -> Column:
@@ -37,14 +45,14 @@ def first_difference(a: Column, b: Column) -> Column:
         F.slice(a, 1, sections.cast("int")), F.lit(0).cast("long"), lambda n, s: n + F.size(s)) - 1)
 
 
-def phrases(text: Column) -> Column:
-    """The distinct phrases of a text, as 64-bit hashes; a null or empty text has none."""
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PHRASE), F.lit(0))
-    return F.array_distinct(F.transform(found, lambda p: F.xxhash64(p)))
+def leaves(text: Column) -> Column:
+    """The distinct lowest nodes of a text's tree, as 64-bit digests of their phrases; a null or empty text has none."""
+    paragraphs = F.split(F.coalesce(text, F.lit("")), PARAGRAPH)
+    return F.array_distinct(F.flatten(F.transform(paragraphs, lambda p: F.transform(_cut(p), lambda x: F.xxhash64(x)))))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Shared phrases over those of the document that has more; two without any are alike."""
+    """Shared lowest nodes over those of the document that has more; two without any are alike."""
     most = F.greatest(F.size(a), F.size(b))
     return F.when(most == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / most)
 
@@ -93,16 +101,16 @@ def compared_with_edit(docs: DataFrame, key: str = "doc_id", text: str = "text")
     first that differs, null if none). Null texts count as empty; an only document follows itself;
     repeated rows stand beside each other in the order. Other columns are not read.
     """
-    rows = with_next(docs, key, text).withColumn("phrases", phrases(F.col("text")))
-    rows = rows.withColumn("next_phrases", F.lead("phrases").over(in_order())).where("NOT guest")
+    rows = with_next(docs, key, text).where("NOT guest")
     quarter = F.floor(F.char_length("text") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.char_length("text") - quarter), F.substring("next_text", F.lit(1), quarter))
-    rows = rows.select("id", "text", "phrases", "next_phrases", edited.alias("edited"))
+    # The leaves of the text that follows are cut again here: they are larger than the text, which is all that is carried.
+    rows = rows.select("id", "text", leaves(F.col("text")).alias("leaves"), leaves(F.col("next_text")).alias("next_leaves"), edited.alias("edited"))
     rows = rows.select("*", tree(F.col("text")).alias("tree"), tree(F.col("edited")).alias("edited_tree"),
-                       phrases(F.col("edited")).alias("edited_phrases"))
+                       leaves(F.col("edited")).alias("edited_leaves"))
     return rows.select(
         "id", F.char_length("text").cast("long").alias("n_chars"), "edited", root(F.col("tree")).alias("fingerprint"),
         root(F.col("edited_tree")).alias("edited_fingerprint"),
-        likeness(F.col("phrases"), F.col("edited_phrases")).alias("near_edited"),
-        likeness(F.col("phrases"), F.col("next_phrases")).alias("near_next"),
+        likeness(F.col("leaves"), F.col("edited_leaves")).alias("near_edited"),
+        likeness(F.col("leaves"), F.col("next_leaves")).alias("near_next"),
         first_difference(F.col("tree"), F.col("edited_tree")).alias("edited_paragraph"))

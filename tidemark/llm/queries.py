@@ -71,12 +71,14 @@ n AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_te
       FROM d WINDOW w AS (ORDER BY doc_id NULLS FIRST, text)),
 e AS (SELECT doc_id, text, next_text, substr(text, 1, (length(text) - length(text) // 4)::BIGINT)
              || substr(next_text, 1, (length(text) // 4)::BIGINT) AS edited FROM n),
+p AS (SELECT *,
+    [[regexp_extract_all(p, '{phrase}') FOR p IN string_split(s, chr(10))] FOR s IN string_split(text, chr(10) || chr(10))] AS p,
+    [[regexp_extract_all(p, '{phrase}') FOR p IN string_split(s, chr(10))] FOR s IN string_split(edited, chr(10) || chr(10))] AS q,
+    [regexp_extract_all(p, '{phrase}') FOR p IN string_split(next_text, chr(10))] AS r FROM e),
 t AS (SELECT *,
-    [[md5(p) FOR p IN string_split(s, chr(10))] FOR s IN string_split(text, chr(10) || chr(10))] AS a,
-    [[md5(p) FOR p IN string_split(s, chr(10))] FOR s IN string_split(edited, chr(10) || chr(10))] AS b,
-    list_distinct(regexp_extract_all(text, '(?s).*?(?:[\n.,;:!?|]|[aeionst] )|.+')) AS f,
-    list_distinct(regexp_extract_all(edited, '(?s).*?(?:[\n.,;:!?|]|[aeionst] )|.+')) AS g,
-    list_distinct(regexp_extract_all(next_text, '(?s).*?(?:[\n.,;:!?|]|[aeionst] )|.+')) AS h FROM e),
+    [[md5(array_to_string([md5(x) FOR x IN y], '')) FOR y IN s] FOR s IN p] AS a,
+    [[md5(array_to_string([md5(x) FOR x IN y], '')) FOR y IN s] FOR s IN q] AS b,
+    list_distinct(flatten(flatten(p))) AS f, list_distinct(flatten(flatten(q))) AS g, list_distinct(flatten(r)) AS h FROM p),
 z AS (SELECT *, list_position([coalesce(x[1] = x[2], false) FOR x IN list_zip(flatten(a), flatten(b))], false) AS para,
     list_position([coalesce(x[1] = x[2], false) FOR x IN list_zip(a, b)], false) AS sect FROM t)
 SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256,
@@ -89,7 +91,8 @@ SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256,
     CASE WHEN para > 0 THEN (para - 1)::BIGINT
          WHEN sect > 0 THEN (list_sum([len(s) FOR s IN a[1:sect]]) - 1)::BIGINT END AS edited_paragraph
 FROM z
-"""
+""".replace("{phrase}", r"(?s).{0,63}?(?:[.,;:!?|。、，；：！？।؟،]|[aeionstAEIONSTаеиностАЕИНОСТ] "
+            r"|[\x{3040}-\x{304F}\x{30A0}-\x{30AF}\x{4E00}-\x{50FF}\x{6000}-\x{62FF}\x{7500}-\x{77FF}\x{8C00}-\x{8EFF}])|.{64}|.+")
 
 
 @query
