@@ -108,6 +108,18 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
+def test_stages_leave_other_columns_alone(spark, tmp_path):
+    from helpers import CASES, documents
+    names = ("row", "score", "rejected", "lang_pred", "n_lines", "n_dropped", "left_whole", "mix_slot", "mix_notes", "id", "kept", "component")
+    docs = documents(spark, CASES, extra=False).selectExpr("*", *(f"concat('{n} of ', coalesce(doc_id, 0)) AS {n}" for n in names))
+    for at, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, docs, SF_DIR).write.parquet(f"{tmp_path}/{at}")
+        docs = spark.read.parquet(f"{tmp_path}/{at}")
+        rows = docs.collect()
+        assert docs.columns[5:] == list(names) and len(rows) > 3, name
+        assert all(r[n] == f"{n} of {r['doc_id'] or 0}" for r in rows for n in names), name
+
+
 def test_near_dedup_decides_by_row(spark):
     from helpers import documents
     text = lambda word: " ".join(f"{word}{i}" for i in range(40))
