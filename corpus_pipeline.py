@@ -1,7 +1,16 @@
-"""Documents to training tokens in five stages, each written and read again by the next."""
+"""Documents to training tokens in five stages, each written and read again by the next.
+
+A stage returns the columns it was given, whatever their names are. Repeated rows and rows without id are
+documents like any other until near_dedup, which keeps one row of each id and text; ties go to the smaller
+id, then to a hash of the row. An empty table passes through every stage. Texts are read whole, however
+long they are. What each stage makes of null and empty texts stands in its docstring.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,18 +22,41 @@ from tidemark.plans.staging import stored
 ROW = "xxhash64(doc_id, doc_id IS NULL, text, text IS NULL)"
 
 
+# The columns that stages look at.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def names_apart(stage: Stage) -> Stage:
+    """The stage with all other columns under names that nothing inside it uses; they come back under their own."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        plain = docs.toDF(*(name if name in COLUMNS else f"other column {at}" for at, name in enumerate(docs.columns)))
+        return stage(spark, plain, sf_dir).toDF(*docs.columns)
+
+    return run_stage
+
+
+@names_apart
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose language is told with confidence; those without letters go."""
+    """The documents whose language is told with confidence and that are not for the most part new to the model.
+
+    Null, empty and blank texts and others without letters go.
+    """
     found = langid.predict(docs, langid.fit(docs))
     return found.where("NOT rejected").select(*docs.columns)
 
 
+@names_apart
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without lines that recur across them; ``n_chars`` follows the text."""
+    """The documents without lines that recur across them; ``n_chars`` follows the text. Null texts stay null, empty ones empty."""
     found = line_templates.drop_recurring(docs)
     return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
+@names_apart
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, and one row of repeated ones.
 
@@ -47,8 +79,9 @@ def _places(docs: DataFrame) -> DataFrame:
     return mixing.mix(docs.select(F.expr(ROW).alias("row"), "doc_id", "source"), key="row").select("row", "doc_id", "mix_slot", "mix_place")
 
 
+@names_apart
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in files that follow the mix of their sources."""
+    """All documents, in files that follow the mix of their sources; a null source is a source of its own."""
     mixed = mixing.mix(docs.withColumn("row", F.expr(ROW)), key="row")
     return mixed.repartitionByRange("mix_slot", "mix_place").sortWithinPartitions("mix_slot", "mix_place").select(*docs.columns)
 
@@ -57,7 +90,8 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """doc_id, n_tokens, ids, decoded_sha256 (the digest of the text decoded from the ids again), mix_slot and mix_place.
 
     Encoding deals rows anew, so their places in the mix are found again from its schedule:
-    the training order is that of (mix_slot, mix_place), whatever files the rows lie in.
+    the training order is that of (mix_slot, mix_place), whatever files the rows lie in. A null or empty
+    text has no ids and decodes to the empty text.
     """
     places = stored(_places(docs), "places")
     rows = docs.withColumn("row", F.expr(ROW))
