@@ -24,7 +24,8 @@ HEADLINE = (
     "news_phrase_match", "sentiment_join", "sentiment_windows", "scan_csv_dir", "pivot_wide",
     "dashboard_series", "direction_label", "chrono_split", "minmax_scale", "sequences",
     "classification_metrics", "feature_importance", "logistic_baseline", "sequence_regressor",
-    "sequence_classifier", "timeframe_filter", "score_latest", "news_extract",
+    "sequence_classifier", "timeframe_filter", "score_latest", "news_extract", "ema_long_cut", "drawdown_cut",
+    "sequence_store_digest", "phrase_sentiment", "wide_blocks", "publish_replace", "profile_grown",
 )
 
 

@@ -57,23 +57,29 @@ def test_names_match_whole_phrases(spark, monkeypatch):
     expected = sorted((symbol, i) for symbol, name in NAMES.items() for i, text in enumerate(TEXTS)
                       if plain(name).strip() and plain(name) in plain(text))
     assert len(expected) == 7
+    assert sorted((r.Symbol, r.article_id) for r in news.match_names(df, companies).collect()) == expected
+    assert news.match_names(df, companies.where("Symbol = 'NONE'")).collect() == []
+    monkeypatch.setattr(news, "NAME_CHARACTERS", 0)
     for limit in (news.BROADCAST_PIECES, 0):
         monkeypatch.setattr(news, "BROADCAST_PIECES", limit)
         found = news.match_names(df, companies)
         assert sorted((r.Symbol, r.article_id) for r in found.collect()) == expected
-    both = news.match_names(df, companies, lang=None).collect()
-    assert len(both) == len(expected) + 1
+    for size in (0, 1000):
+        monkeypatch.setattr(news, "NAME_CHARACTERS", size)
+        assert len(news.match_names(df, companies, lang=None).collect()) == len(expected) + 1
 
 
-def test_very_long_names_are_cut_into_short_pieces(spark):
+def test_very_long_names_are_cut_into_short_pieces(spark, monkeypatch):
     name = " ".join(f"w{i % 5000}" for i in range(20_000))
     companies = spark.createDataFrame([("L", name), ("S", "w3 w4")], "Symbol string, Security string")
     pieces = news._name_pieces(companies, "Symbol", "Security")
     assert max(len(r.piece) for r in pieces.collect()) < 30
     articles = spark.createDataFrame([(1, "x " + name + " y", "en"), (2, "w1 w2 w3, W4", "en"), (3, name[:-1], "en")],
                                      "article_id long, text string, lang string")
-    got = {(r.Symbol, r.article_id) for r in news.match_names(articles, companies).collect()}
-    assert got == {("L", 1), ("S", 1), ("S", 2), ("S", 3)}
+    for size in (news.NAME_CHARACTERS, 0):
+        monkeypatch.setattr(news, "NAME_CHARACTERS", size)
+        got = {(r.Symbol, r.article_id) for r in news.match_names(articles, companies).collect()}
+        assert got == {("L", 1), ("S", 1), ("S", 2), ("S", 3)}
 
 
 def test_negations_and_intensifiers(spark):

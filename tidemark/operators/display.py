@@ -3,13 +3,15 @@ smoothing for RSI, and warm-up rows masked by a minimum number of values."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.series import ema_memory, ema_parts, ema_value, gain, loss, rolling, shift
 from tidemark.operators.indicator import Indicator, Stage, add_indicators
 from tidemark.operators.technical import FAST, SIGNAL, SLOW
 from tidemark.operators.windows import recent_days
-from tidemark.plans.series import Series, arrange
+from tidemark.plans.series import Series, arrange, with_key_facts
 
 # Days shown per time frame; None shows everything.
 TIME_FRAMES = {"1W": 7, "1M": 30, "3M": 90, "6M": 180, "1Y": 365, "ALL": None}
@@ -64,6 +66,21 @@ def time_frame(bars: DataFrame, frame: str, companies: list[str] | None = None,
     return bars if days is None else recent_days(bars, days, key, order)
 
 
+def time_frames(bars: DataFrame, frames: Sequence[str] = tuple(TIME_FRAMES), companies: list[str] | None = None,
+                key: str = "company", order: str = "dt") -> DataFrame:
+    """The rows of several preset frames, each under its name in ``frame``; a company's newest row is looked for once."""
+    if companies is not None:
+        bars = bars.where(F.col(key).isin(companies))
+    known = with_key_facts(bars, [key], order, [F.max(order).alias("_top")], {"_newest": lambda w: F.max("_top").over(w)})
+
+    def inside(name: str) -> Column:
+        days = TIME_FRAMES[name]
+        shown = F.lit(True) if days is None else F.col(order) >= F.col("_newest") - F.expr(f"INTERVAL '{days}' DAY")
+        return F.when(shown, F.lit(name))
+
+    return known.withColumn("frame", F.explode(F.array_compact(F.array(*map(inside, frames))))).drop("_newest")
+
+
 def chart_series(bars: DataFrame, frame: str = "ALL", companies: list[str] | None = None,
                  key: str = "company", order: str = "dt", **layout) -> DataFrame:
     """OHLC with the chart's indicator lines, computed on the visible rows only.

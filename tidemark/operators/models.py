@@ -187,14 +187,16 @@ def sequence_classifier(sequences: DataFrame, max_iter: int = 20) -> DataFrame:
         "company", "dt", "label", vector_to_array("probability")[1].alias("prob"))
 
 
-def train_next_day_model(labelled: DataFrame, path: str, features: Sequence[str] = LATEST_FEATURES) -> None:
-    """Fit the next-day direction model on all companies and save it."""
+def train_next_day_model(labelled: DataFrame, path: str, features: Sequence[str] = LATEST_FEATURES) -> PipelineModel:
+    """Fit the next-day direction model on all companies, save it and return it."""
     rows = labelled.dropna(subset=[*features, "label"])
     pipeline = Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features"),
         LogisticRegression(maxIter=100, regParam=0.001),
     ])
-    pipeline.fit(rows).write().overwrite().save(path)
+    fitted = pipeline.fit(rows)
+    fitted.write().overwrite().save(path)
+    return fitted
 
 
 def score_latest(bars: DataFrame, path: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
@@ -13,6 +15,9 @@ from tidemark.operators.polarity import polarity
 # Names are looked up in pieces of at most this many words.
 PIECE_WORDS = 3
 
+# Names of so many characters together are sent to every task and looked for in the texts where they are read.
+NAME_CHARACTERS = 1_000_000
+
 # Name pieces up to this number are broadcast; more of them are joined by a shuffle.
 BROADCAST_PIECES = 200_000
 
@@ -62,14 +67,49 @@ def match_names(articles: DataFrame, companies: DataFrame, text: str = "text", l
                 name: str = "Security") -> DataFrame:
     """(ticker, article) pairs whose text holds the company's name as an exact phrase.
 
-    Upper and lower case and punctuation do not matter, words must match whole. Instead of
-    comparing every article with every name, names are cut into pieces of up to three words,
-    each with its place in the name, and met with the article's runs of words by an equality
-    join. The name occurs where all its pieces line up. Texts are not shuffled, only matching
-    runs are.
+    Upper and lower case and punctuation do not matter, words must match whole. Names that are short
+    enough together are sent to every task as one automaton, which finds all of them in one walk over a
+    text; only found pairs leave the task. Beyond that, names are cut into pieces of up to three words,
+    each with its place in the name, and met with the article's runs of words by an equality join; a
+    name occurs where all its pieces line up. Texts are shuffled in neither case, only matching runs are.
     """
     if lang is not None:
         articles = articles.where(F.col("lang") == lang)
+    plain = companies.select(F.col(ticker).alias("_ticker"), F.array_join(words(F.col(name)), " ").alias("_name")).where("_name != ''")
+    size = plain.agg(F.sum(F.char_length("_name") + 2)).first()[0] or 0
+    if size <= NAME_CHARACTERS:
+        return _found_names(articles, plain, text, keep, ticker, companies.schema[ticker].dataType.simpleString())
+    return _joined_names(articles, companies, text, keep, ticker, name)
+
+
+def _found_names(articles: DataFrame, names: DataFrame, text: str, keep: Sequence[str], ticker: str, kind: str) -> DataFrame:
+    """The pairs, by one automaton over all names; ``names`` has _ticker and _name, words joined by blanks."""
+    tickers: dict[str, set] = {}
+    for row in names.collect():
+        tickers.setdefault(row["_name"], set()).add(row["_ticker"])
+    listed = list(tickers)
+    automaton = ahocorasick.Automaton()
+    for number, found in enumerate(listed):
+        automaton.add_word(f" {found} ", number)
+    if listed:
+        automaton.make_automaton()
+    shared = articles.sparkSession.sparkContext.broadcast((automaton, len(listed)))
+
+    def numbers(texts: pd.Series) -> pd.Series:
+        automaton, count = shared.value
+        if not count:
+            return pd.Series([[]] * len(texts))
+        return pd.Series([sorted({number for _, number in automaton.iter(f" {one} ")}) for one in texts])
+
+    # Signs and blanks become one blank, so a name stands between blanks wherever its words do.
+    plain = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+", " ")
+    found = articles.select(*keep, F.explode(F.pandas_udf(numbers, "array<int>")(plain)).alias("_number"))
+    rows = [(number, one) for number, name in enumerate(listed) for one in tickers[name]]
+    known = F.broadcast(articles.sparkSession.createDataFrame(rows, f"_number int, `{ticker}` {kind}"))
+    return found.join(known, "_number").select(ticker, *keep).distinct()
+
+
+def _joined_names(articles: DataFrame, companies: DataFrame, text: str, keep: Sequence[str], ticker: str, name: str) -> DataFrame:
     pieces = _name_pieces(companies, ticker, name)
     sizes = {row["_width"]: row["count"] for row in pieces.groupBy("_width").count().collect()}
     if sum(sizes.values()) <= BROADCAST_PIECES:

@@ -97,13 +97,8 @@ def sequence_experiment(table: DataFrame, companies: Sequence[str] | None = None
     return metrics.experiment_table(_appended(scored))
 
 
-def pooled_experiment(bars: DataFrame, years: int = YEARS,
-                      lookback: int = labels.POOLED_LOOKBACK) -> DataFrame:
-    """Next-day direction of all companies together from ``lookback`` standardised rows, trained on
-    the days up to the 80 % quantile (Model, Accuracy_%, ROC_AUC, F1_Score, MCC).
-
-    ``bars`` has company, dt, close, volume and sentiment.
-    """
+def pooled_scores(bars: DataFrame, years: int = YEARS, lookback: int = labels.POOLED_LOOKBACK) -> DataFrame:
+    """company, dt, label and prob of the held-out sequences of all companies; see ``pooled_experiment``."""
     recent = windows.recent_days_overall(
         bars.select("company", "dt", "close", "volume", "sentiment"), 365 * years)
     rows = stored(labels.log_return_features(recent), "pooled_rows")
@@ -112,7 +107,17 @@ def pooled_experiment(bars: DataFrame, years: int = YEARS,
     by = ["part", "company"]
     store = stored(sequences.sequence_store(tagged, POOLED_FEATURES, "Direction", lookback, by), "pooled_store")
     built = sequences.expanded(store, POOLED_FEATURES, "Direction", lookback, by)
-    scored = stored(models.sequence_classifier(built.withColumn("is_train", F.col("part") == "train")), "pooled_scores")
+    return stored(models.sequence_classifier(built.withColumn("is_train", F.col("part") == "train")), "pooled_scores")
+
+
+def pooled_experiment(bars: DataFrame, years: int = YEARS,
+                      lookback: int = labels.POOLED_LOOKBACK) -> DataFrame:
+    """Next-day direction of all companies together from ``lookback`` standardised rows, trained on
+    the days up to the 80 % quantile (Model, Accuracy_%, ROC_AUC, F1_Score, MCC).
+
+    ``bars`` has company, dt, close, volume and sentiment.
+    """
+    scored = pooled_scores(bars, years, lookback)
     return metrics.classification_metrics(scored).select(
         F.lit("Pooled Sequence Classifier").alias("Model"),
         F.round("accuracy", 2).alias("Accuracy_%"), F.round("roc_auc", 4).alias("ROC_AUC"),

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators.clean import clean_bars, require_unique
 from tidemark.operators.news import daily_sentiment, default_lexicon, newest_articles, score_text
 from tidemark.plans.features import feature_table
-from tidemark.plans.staging import stored
+from tidemark.plans.staging import scratch, stored
 from tidemark.sources.bars_csv import read_bars_csv
+from tidemark.sources.published import publish_once
 from tidemark.sources.tables import read_articles, read_optional, read_table, write_table
 
 
@@ -39,8 +40,23 @@ def ingest_news(spark: SparkSession, json_path: str, sentiment_path: str,
 
 
 def build_features(spark: SparkSession, prices_path: str, sentiment_path: str, output_path: str,
-                   **layout) -> None:
-    """Stored bars and, where present, stored sentiment to the 60-column feature table."""
+                   reuse: bool = False, **layout) -> None:
+    """Stored bars and, where present, stored sentiment to the 60-column feature table.
+
+    With ``reuse`` the output is a published table (see ``read_published``), and nothing is written if its
+    newest version was made in the same way from the same files.
+    """
     bars = clean_bars(read_table(spark, prices_path))
     table = feature_table(bars, read_optional(spark, sentiment_path), **layout)
-    write_table(table, output_path, sort_by=("Company", "Date"))
+    if reuse:
+        publish_once(table, output_path, keys=("Company", "Date"))
+    else:
+        write_table(table, output_path, sort_by=("Company", "Date"))
+
+
+def run(spark: SparkSession, csv_folder: str, json_path: str, folder: str, **layout) -> None:
+    """The whole job: prices, sentiment and features under ``folder``; the scratch tables are deleted at its end."""
+    with scratch(spark):
+        ingest_bars(spark, csv_folder, f"{folder}/prices")
+        ingest_news(spark, json_path, f"{folder}/sentiment")
+        build_features(spark, f"{folder}/prices", f"{folder}/sentiment", f"{folder}/features", **layout)

@@ -17,6 +17,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.plans.staging import fingerprint
+
 
 class Folder:
     """The few file operations a manifest needs, on whatever file system the path names."""
@@ -74,13 +76,13 @@ def read_published(spark: SparkSession, path: str, version: int | None = None) -
 
 
 def publish(df: DataFrame, path: str, keys: Sequence[str] = ("company", "dt"), partition_by: str | None = None,
-            replace: bool = True, allow_empty: bool = False) -> int:
+            replace: bool = True, allow_empty: bool = False, made_from: str | None = None) -> int:
     """Make ``df`` the next version of the table at ``path`` and return its number.
 
     With ``partition_by``, a column whose values name folders, every partition has a folder of its own.
     With ``replace`` off, only the partitions that ``df`` has rows of are replaced. Nothing changes, and
     the reason is raised, if the rows are none (unless ``allow_empty``), if two of them share ``keys``
-    (pass none for no such check), or if another writer was faster.
+    (pass none for no such check), or if another writer was faster. ``made_from`` is kept in the manifest.
     """
     spark, folder = df.sparkSession, Folder(df.sparkSession, path)
     known = versions(spark, path)
@@ -99,7 +101,7 @@ def publish(df: DataFrame, path: str, keys: Sequence[str] = ("company", "dt"), p
                 raise ValueError(f"duplicate key: {[twice[0][k] for k in keys]}")
         version = known[-1] + 1 if known else 1
         named = folders if replace else {**old, **folders}
-        text = json.dumps({"version": version, "folders": named, "partition_by": partition_by, "schema": _ddl(df)}, indent=1)
+        text = json.dumps({"version": version, "folders": named, "partition_by": partition_by, "schema": _ddl(df), "made_from": made_from}, indent=1)
         if not folder.create(f"manifests/{version}.json", text):
             raise RuntimeError(f"{path} got a version {version} from elsewhere meanwhile")
     except BaseException:
@@ -108,6 +110,15 @@ def publish(df: DataFrame, path: str, keys: Sequence[str] = ("company", "dt"), p
     return version
 
 
+def publish_once(df: DataFrame, path: str, **options) -> int:
+    """``publish``, unless the newest version was made by the same plan from the same files: then its number, and nothing is written."""
+    made_from = fingerprint(df)
+    known = versions(df.sparkSession, path)
+    if known and manifest(df.sparkSession, path, known[-1]).get("made_from") == made_from:
+        return known[-1]
+    return publish(df, path, made_from=made_from, **options)
+
+
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in df.schema.fields)
 

@@ -381,6 +381,13 @@ COUNT(DISTINCT company) AS distinct_keys, '{c}' AS column_name, COUNT(*) - COUNT
 _oracles["profile_table"] = with_(f"{BARS}, {DAILY}", _profile(
     "bars", ["company", "dt", "open", "high", "low", "close", "volume"])
     + "\nUNION ALL\n" + _profile("daily_sentiment", ["company", "dt", "sentiment"]))
+_oracles["profile_grown"] = with_(f"""{BARS}, rows AS (SELECT company, dt, CAST(volume AS BIGINT) AS orders,
+  CASE WHEN DAY(dt) > 15 THEN MONTH(dt) END AS late FROM bars)""", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS missing, CAST(MIN({c}) AS VARCHAR) AS low,
+CAST(MAX({c}) AS VARCHAR) AS high, 1 AS distinct_close, COUNT(DISTINCT {c}) AS exact, CAST(1 AS BIGINT) AS files_read FROM rows"""
+    for c in ("company", "dt", "orders", "late")))
+_oracles["cached_stage"] = """SELECT o_orderpriority AS company, COUNT(*) AS orders,
+COUNT(*) FILTER (o_orderdate < TIMESTAMP '1997-01-01') AS early_orders, 1 AS written_first, 2 AS written FROM orders GROUP BY 1"""
 _oracles["head_rows"] = with_(BARS, "SELECT * FROM bars ORDER BY company, dt LIMIT 5")
 _oracles["distinct_companies"] = "SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS company FROM lineitem"
 
@@ -400,6 +407,7 @@ _oracles["timeframe_filter"] = with_(
         f"""SELECT '{name}' AS frame, b.company, b.dt, b.close FROM bars b JOIN newest USING (company)
 WHERE company IN ('2-HIGH', '5-LOW') AND b.dt >= newest.last - {100000 if days is None else days}"""
         for name, days in TIME_FRAMES.items()))
+_oracles["timeframe_single"] = with_(f"{BARS}, {recent(90)}", "SELECT company, dt, close FROM recent")
 _oracles["dashboard_series"] = with_(
     f"""{BARS}, {recent(365)}, {wilder('recent')}, {masked_macd('recent')},
 lines AS (SELECT r.*, {strict('AVG', 'close', 20)} AS sma, COUNT(*) OVER (PARTITION BY company) AS n FROM recent r)""",
@@ -498,6 +506,13 @@ digests AS (SELECT t.company, t.dt, SUM((s.i - t.i + 61) * s.close) AS c, SUM((s
   FROM placed t JOIN placed s ON s.company = t.company AND s.i BETWEEN t.i - 60 AND t.i - 1 WHERE t.i > 60 GROUP BY 1, 2)""",
     f"SELECT company, dt, {rnd('c', 2, 'close_digest')}, {rnd('v', 2, 'volume_digest')}, {rnd('f', 6, 'target')} FROM digests")
 
+_oracles["sequences_pooled_digest"] = with_(f"""{BARS}, {_DORMANT}, {quantile('dormant')},
+parts AS (SELECT *, CASE WHEN is_train THEN 'train' ELSE 'test' END AS part FROM split),
+placed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY part, company ORDER BY dt) AS i FROM parts),
+digests AS (SELECT t.part, t.company, t.dt, SUM((s.i - t.i + 11) * s.close) AS c, SUM((s.i - t.i + 11) * s.volume) AS v, ANY_VALUE(t.direction) AS f
+  FROM placed t JOIN placed s ON s.part = t.part AND s.company = t.company AND s.i BETWEEN t.i - 10 AND t.i - 1 WHERE t.i > 10 GROUP BY 1, 2, 3)""",
+    f"SELECT part, company, dt, {rnd('c', 2, 'close_digest')}, {rnd('v', 2, 'volume_digest')}, {rnd('CAST(f AS DOUBLE)', 6, 'target')} FROM digests")
+
 # The bars with sentiment, returns and averages of the experiments, their first 49 rows left out.
 _EXPERIMENT = f"""{SENTIMENT_BARS},
 means AS (SELECT company, dt, close, sentiment, {strict('AVG', 'close', 10)} AS m10, {strict('AVG', 'close', 20)} AS m20,
@@ -619,6 +634,16 @@ _oracles["importance_file"] = _oracles["feature_importance"]
 
 _oracles["score_latest_rows"] = with_(BARS, "SELECT company, MAX(dt) AS dt, 1 AS scored FROM bars GROUP BY company")
 
+_oracles["saved_model_scores"] = with_(f"""{BARS},
+returned AS (SELECT company, dt, {change('close')} AS ret, ROW_NUMBER() OVER ({BY_COMPANY}) AS i FROM bars),
+ahead AS (SELECT company, i, LEAD(ret) OVER ({BY_COMPANY}) AS future FROM returned)""", """SELECT company, COUNT(*) AS rows,
+COUNT(*) FILTER (future > 0) AS rises, COUNT(*) AS same, COUNT(*) AS told FROM ahead WHERE i >= 50 AND future IS NOT NULL GROUP BY 1""")
+_oracles["sequence_classifier_rows"] = with_(
+    f"""{BARS.replace('bars AS', 'every_bar AS', 1)},
+bars AS (SELECT * FROM every_bar WHERE dt >= (SELECT MAX(dt) FROM every_bar) - {365 * 7}), {_DORMANT}, {quantile('dormant')},
+held AS (SELECT *, ROW_NUMBER() OVER ({BY_COMPANY}) AS i FROM split WHERE NOT is_train)""", """SELECT company, COUNT(*) AS test_sequences,
+SUM(direction)::BIGINT AS rises, MAX(dt) AS newest, COUNT(*) AS scored FROM held WHERE i > 10 GROUP BY 1""")
+
 _oracles["logistic_optimality"] = with_(f"""{BARS},
 returned AS (SELECT company, dt, close / {lag('close')} - 1 AS ret FROM bars),
 kept AS (SELECT * FROM returned WHERE ret IS NOT NULL),

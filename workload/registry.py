@@ -10,13 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators import (
-    clean, display, labels, lagged, metrics, models, news, profile, reshape, scaling, sentiment, splits,
+    clean, display, inspection, labels, lagged, metrics, models, news, profile, reshape, scaling, sentiment, splits,
     technical, walks, wide, windows,
 )
 from tidemark.operators.indicator import Indicator, apply_indicators
 from tidemark.plans import experiments, sequences as sequence_plans
 from tidemark.plans.features import feature_table, merge_prices_and_sentiment
-from tidemark.plans.staging import stored
+from tidemark.plans.staging import StageCache, stored
 from tidemark.session import scratch_folder
 from tidemark.sources import bars_csv, published, tables
 from workload import views
@@ -439,6 +439,44 @@ def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.unionByName(daily)
 
 
+@query
+def profile_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of a table that has grown by a file: how many files it read for that, exact counts and bounds, and
+    whether the estimate of distinct values lies within three standard errors."""
+    path, kept = scratch_folder(spark, "grown"), scratch_folder(spark, "profile")
+    bars = views.bars(spark, sf_dir).select("company", "dt", F.col("volume").cast("long").alias("orders"),
+                                            F.when(F.dayofmonth("dt") > 15, F.month("dt")).alias("late"))
+    bars.where("dt < DATE'1997-01-01'").repartition(3).write.parquet(path)
+    inspection.profile_files(spark, path, kept)
+    bars.where("dt >= DATE'1997-01-01'").coalesce(1).write.mode("append").parquet(path)
+    read = inspection.files_to_read(spark, path, kept)
+    found = inspection.profile_files(spark, path, kept)
+    exact = F.array(*(F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact")) for c in bars.columns))
+    joined = found.join(spark.read.parquet(path).agg(exact.alias("e")).select(F.inline("e")), "column_name")
+    close = F.abs(F.col("distinct_estimate") - F.col("exact")) <= 3 * inspection.STANDARD_ERROR * F.col("exact") + 0.5
+    return joined.select("column_name", "row_count", "missing", "low", "high", close.cast("int").alias("distinct_close"),
+                         "exact", F.lit(read).cast("long").alias("files_read"))
+
+
+@query
+def cached_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars from a cache: made once, found again, made anew when a file is added to what they come from."""
+    cache, path = StageCache(spark), scratch_folder(spark, "source")
+    views.table(spark, sf_dir, "orders").where("o_orderdate < TIMESTAMP'1997-01-01'").write.parquet(path)
+
+    def days() -> DataFrame:
+        found = spark.read.parquet(path).groupBy(F.col("o_orderpriority").alias("company")).agg(F.count(F.lit(1)).alias("orders"))
+        return cache.get(found, "days")
+
+    early, written = [days() for _ in range(2)][1], [cache.written]
+    early = stored(early)
+    views.table(spark, sf_dir, "orders").where("o_orderdate >= TIMESTAMP'1997-01-01'").write.mode("append").parquet(path)
+    late = days()
+    written.append(cache.written)
+    return late.join(early.withColumnRenamed("orders", "early_orders"), "company").withColumns(
+        {"written_first": F.lit(written[0]), "written": F.lit(written[1])})
+
+
 @query
 def head_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.first_rows(views.bars(spark, sf_dir))
@@ -463,13 +501,15 @@ def trailing_years_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def timeframe_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = [display.time_frame(views.bars(spark, sf_dir), name, ["2-HIGH", "5-LOW"])
-              .select(F.lit(name).alias("frame"), "company", "dt", "close")
-              for name in display.TIME_FRAMES]
-    united = frames[0]
-    for frame in frames[1:]:
-        united = united.unionByName(frame)
-    return united
+    """Every preset frame of two companies, one below the other."""
+    shown = display.time_frames(views.bars(spark, sf_dir), companies=["2-HIGH", "5-LOW"])
+    return shown.select("frame", "company", "dt", "close")
+
+
+@query
+def timeframe_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One preset frame of all companies."""
+    return display.time_frame(views.bars(spark, sf_dir), "3M").select("company", "dt", "close")
 
 
 @query
@@ -602,17 +642,32 @@ def sequences_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sequence_store_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences read as views of chunks with a halo; each step counts with its place, so their order shows."""
     store = stored(sequence_plans.sequence_store(_sequence_input(spark, sf_dir), ["close", "volume"], chunk_rows=200))
-    steps = np.arange(1.0, labels.LOOKBACK + 1)
+    return _digests(store, ["company"], "Future_Return", labels.LOOKBACK)
+
+
+@query
+def sequences_pooled_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the ten steps of the pooled classifier, separately in the earlier and the later days."""
+    split = splits.by_date_quantile(labels.log_return_features(views.bars(spark, sf_dir)))
+    tagged = split.withColumn("part", F.when(F.col("is_train"), "train").otherwise("test"))
+    by = ["part", "company"]
+    store = stored(sequence_plans.sequence_store(tagged, ["close", "volume"], "Direction", labels.POOLED_LOOKBACK, by, chunk_rows=150))
+    return _digests(store, by, "Direction", labels.POOLED_LOOKBACK)
+
+
+def _digests(store: DataFrame, keys: list[str], target: str, lookback: int) -> DataFrame:
+    """Sums of a sequence's closes and volumes, each times its place from 1."""
+    steps = np.arange(1.0, lookback + 1)
+    names = [*keys, "dt", "close_digest", "volume_digest", "target"]
 
     def digest(chunk: sequence_plans.Chunk):
         numbers = np.einsum("nsf,s->nf", chunk.x, steps)
-        names = pa.array([chunk.row["company"]] * len(chunk.y), pa.string())
-        yield pa.RecordBatch.from_arrays([names, chunk.times, pa.array(numbers[:, 0]), pa.array(numbers[:, 1]), pa.array(chunk.y)],
-                                         ["company", "dt", "close_digest", "volume_digest", "target"])
+        named = [pa.array([chunk.row[key]] * len(chunk.y), pa.string()) for key in keys]
+        yield pa.RecordBatch.from_arrays([*named, chunk.times, pa.array(numbers[:, 0]), pa.array(numbers[:, 1]), pa.array(chunk.y)], names)
 
-    read = sequence_plans.map_sequences(store, digest, "company string, dt date, close_digest double, volume_digest double, target double",
-                                        ["close", "volume"])
-    return _series(read, {"close_digest": PRICES, "volume_digest": PRICES, "target": RATIOS})
+    schema = ", ".join([*(f"{key} string" for key in keys), "dt date, close_digest double, volume_digest double, target double"])
+    read = sequence_plans.map_sequences(store, digest, schema, ["close", "volume"], target, lookback, carried=keys)
+    return rounded(read, {"close_digest": PRICES, "volume_digest": PRICES, "target": RATIOS}, *keys, "dt")
 
 
 # --- Models and measures ------------------------------------------------------------------
@@ -727,6 +782,30 @@ def sequence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return experiments.pooled_experiment(_bars_with_sentiment(spark, sf_dir))
 
 
+@query
+def sequence_classifier_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pooled classifier is judged on: held-out sequences per company, rises among them, scores between 0 and 1."""
+    scored = experiments.pooled_scores(_bars_with_sentiment(spark, sf_dir))
+    return scored.groupBy("company").agg(
+        F.count(F.lit(1)).alias("test_sequences"), F.sum("label").alias("rises"), F.max("dt").alias("newest"),
+        F.count_if((F.col("prob") > 0) & (F.col("prob") < 1)).alias("scored"))
+
+
+@query
+def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per company: rows, rises, and rows whose probability is the same before a model is saved and after it is loaded."""
+    chosen = [technical.moving_averages, technical.returns_and_momentum]
+    table = apply_indicators(views.bars(spark, sf_dir), chosen).dropna()
+    labelled = stored(labels.direction_label(table, horizon=1).withColumnRenamed("Target", "label"))
+    path = scratch_folder(spark, "saved_model")
+    before = models.train_next_day_model(labelled, path).transform(labelled)
+    before = before.withColumn("before", models.vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
+    both = models.PipelineModel.load(path).transform(before).withColumn("after", models.vector_to_array("probability")[1])
+    return both.groupBy("company").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("label").alias("rises"), F.count_if(F.col("before") == F.col("after")).alias("same"),
+        F.count_if((F.col("after") > 0.5) == (F.col("prediction") == 1)).alias("told"))
+
+
 @query
 def score_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A saved model tells the next-day trend of each company's newest row."""
