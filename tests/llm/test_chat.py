@@ -1,4 +1,5 @@
 import json
+import random
 
 from tidemark.llm import chat
 
@@ -35,10 +36,38 @@ def test_topological_levels(spark):
     calls += [(2, "a", 0, "find", "{}", ["b"]), (2, "b", 1, "find", "{}", ["a"]), (2, "c", 2, "find", "{}", ["a"]), (2, "d", 3, "find", "{}", [])]
     calls += [(3, "a", 0, "find", "{}", []), (3, "b", 1, "find", "{}", ["a", "a", "none"])]
     got = {k: r["level"] for k, r in linked(spark, calls, []).items()}
-    assert got == {(1, str(i)): i for i in range(6)} | {(2, "a"): None, (2, "b"): None, (2, "c"): None, (2, "d"): 0, (3, "a"): 0, (3, "b"): 0}
+    assert got == {(1, str(i)): i for i in range(6)} | {(2, "a"): None, (2, "b"): None, (2, "c"): None, (2, "d"): 0, (3, "a"): 0, (3, "b"): 1}
 
 
 def test_repeated_rows_and_empty_tables(spark):
     call = (1, "a", 0, "find", '{"q":"x"}', None)
     assert len(linked(spark, [call, call], [(1, "a", 1, "r")] * 3)) == 1
     assert linked(spark, [], []) == {}
+
+
+def plain_levels(needs):
+    """Levels by the definition; None in and behind a circle."""
+    known = {}
+    while True:
+        more = {c: 1 + max((known[n] for n in ns), default=-1) for c, ns in needs.items() if c not in known and all(n in known for n in ns)}
+        if not more:
+            return {c: known.get(c) for c in needs}
+        known |= more
+
+
+def test_levels_of_chains_and_layers_equal_the_definition(spark):
+    draw, calls, expected = random.Random(3), [], {}
+    for conv in range(12):
+        names = [f"c{i}" for i in range(draw.choice([1, 5, 30, 70]))]
+        needs = {}
+        for i, name in enumerate(names):
+            earlier = names[:i] if conv % 4 else names
+            count = 0 if not earlier else draw.choice([0, 1, 1, 1, 1, 1, 2, 3])
+            needs[name] = [n for n in dict.fromkeys(earlier[-draw.randint(1, 3):][:1] + draw.sample(earlier, min(len(earlier), count)))][:count]
+        calls += [(conv, c, draw.randrange(50), "find", "{}", [*ns, c, "unknown"]) for c, ns in needs.items()]
+        expected |= {(conv, c): level for c, level in plain_levels({c: [n for n in ns if n != c] for c, ns in needs.items()}).items()}
+    chain = {f"k{i}": [f"k{i - 1}"] if i else [] for i in range(300)}
+    calls += [(99, c, 0, "find", "{}", ns) for c, ns in chain.items()]
+    expected |= {(99, f"k{i}"): i for i in range(300)}
+    assert {k: r["level"] for k, r in linked(spark, calls, []).items()} == expected
+    assert None in expected.values() and max(x or 0 for x in expected.values()) == 299

@@ -143,7 +143,8 @@ TURN = {"required": ["text", "turn"], "types": {"text": "string", "turn": "integ
 def op7_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn of a conversation that is not the assistant's as a call, linked with the assistant's turn behind it.
 
-    The table holds no tool calls of its own; a turn needs the one two before it, if that is a call.
+    The table holds no tool calls of its own; a turn needs the one two before it, if that is a call, so levels
+    count the calls in a row before it.
     """
     turns = table(spark, sf_dir, "conversations")
     name = lambda back: F.concat_ws("-", "conv_id", F.col("turn") - back)
@@ -170,8 +171,11 @@ j AS (SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.asked
       FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.turn = r.asked),
 f AS (SELECT *, CASE WHEN NOT is_call THEN 'orphan' WHEN is_answered THEN 'linked' ELSE 'unanswered' END AS status,
              CASE WHEN NOT is_call THEN [] WHEN role IS NULL OR role NOT IN ('user', 'system') THEN ['unknown tool']
-                  WHEN text IS NULL THEN ['missing text'] ELSE [] END::VARCHAR[] AS faults FROM j)
-SELECT conv_id, conv_id || '-' || asked AS call_id, status, 0::BIGINT AS level, turn, array_to_string(faults, ',') AS faults,
+                  WHEN text IS NULL THEN ['missing text'] ELSE [] END::VARCHAR[] AS faults,
+             -- Calls two turns apart are in one run: their number along the run keeps pace with the turn.
+             asked - 2 * row_number() OVER (PARTITION BY conv_id, is_call, asked % 2 ORDER BY asked) AS run FROM j)
+SELECT conv_id, conv_id || '-' || asked AS call_id, status,
+    CASE WHEN is_call THEN row_number() OVER (PARTITION BY conv_id, is_call, asked % 2, run ORDER BY asked) - 1 ELSE 0 END AS level, turn, array_to_string(faults, ',') AS faults,
     '{' || CASE WHEN is_call THEN '"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE '"text":' || to_json(text)::VARCHAR || ',' END
                                   || '"turn":' || turn || '},' ELSE '' END
         || '"call":"' || conv_id || '-' || asked || '","conv":' || conv_id || ',"faults":' || to_json(faults)::VARCHAR
