@@ -14,6 +14,8 @@ from math import floor
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemark.plans.staging import broadcast_if_small
+
 # Slots of a period: weights are rounded to these shares.
 RESOLUTION = 1000
 BLOCK_ROWS = 64
@@ -89,8 +91,9 @@ def mix(docs: DataFrame, weights: dict | None = None, key: str = "doc_id", sourc
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(F.col("source").alias("of"), F.col("part").alias("at"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     inside = F.row_number().over(Window.partitionBy("source", "part").orderBy("order"))
+    # Sent to the rows while it is short, so that these are not shuffled once more to meet it.
     ranked = rows.withColumn("inside", inside).join(
-        counts, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("at"))).drop("of")
+        broadcast_if_small(counts), F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("at"))).drop("of")
     ranked = ranked.select("kept", "source", "share", (F.col("before") + F.col("inside") - 1).alias("rank"))
     block = F.floor(F.col("rank") / block_rows)
     ranked = ranked.withColumn("block", block).withColumn("round", F.floor(F.col("block") / F.col("share")))
