@@ -1,9 +1,12 @@
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
 from panel import assert_same, expected_panel, make_panel, to_spark
 from pyspark.sql import Window, functions as F
 
+from tidemark.functions.series import earlier_blocks, over_blocks, rolling, rolling_blocks
 from tidemark.operators.display import CHART, chart_series, macd_display, rsi_wilder
 from tidemark.operators.indicator import apply_indicators
 from tidemark.operators.technical import TECHNICAL
@@ -180,3 +183,33 @@ def test_one_shuffle_and_one_sort_for_all_features(bars):
     plan = apply_indicators(bars, TECHNICAL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
+
+
+def test_no_frame_goes_through_many_rows_for_each_row(spark, bars):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        for df in (feature_table(bars, None), apply_indicators(bars, CHART)):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            frames = [int(n) for n in re.findall(r"RowFrame, -(\d+), currentrow", plan)]
+            assert frames and max(frames) < 7
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+@pytest.mark.parametrize("agg", [F.sum, F.avg, F.min, F.max, F.stddev_samp])
+def test_windows_of_blocks_equal_plain_ones(spark, agg):
+    rng = np.random.default_rng(11)
+    # Large values with a small spread, equal values, a missing one and one far off.
+    values = [*(1e7 + rng.random(60)), *[1e7 + 0.1] * 30, *rng.normal(0, 1, 60)]
+    values[100], values[125] = None, 1e9
+    rows = [("A", i, v if v is None else float(v)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows + [("B", i, float(i)) for i in range(19)], "k STRING, i INT, x DOUBLE")
+    w = Window.partitionBy("k").orderBy("i")
+    blocks = df.withColumns(rolling_blocks(agg, "x", F.col("x"), 5, w)).withColumns(earlier_blocks(agg, "x", 20, 5, w))
+    got = blocks.withColumns({"plain": rolling(agg, F.col("x"), 20, w), "blocks": over_blocks(agg, "x", 20, 5)}).toPandas()
+    assert (got.plain.isna() == got.blocks.isna()).all() and got.plain.notna().sum() == 150 - 19 - 20
+    np.testing.assert_allclose(got.blocks, got.plain, rtol=1e-7, atol=1e-7)
+    if agg is F.stddev_samp:
+        assert (got.blocks[(got.k == "A") & got.i.between(79, 89)] == 0).all()
+    with pytest.raises(ValueError):
+        earlier_blocks(agg, "x", 12, 5, w)

@@ -7,7 +7,9 @@ returns a Column. Missing values are NULL throughout.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
+from operator import add, and_
 
 from pyspark.sql import Column, functions as F
 from pyspark.sql.window import Window, WindowSpec
@@ -27,6 +29,50 @@ def rolling(agg, x: Column, n: int, w: WindowSpec) -> Column:
     return F.when(F.count(x).over(frame) == n, agg(x).over(frame))
 
 
+def rolling_blocks(agg: Callable, name: str, x: Column, size: int, w: WindowSpec) -> dict[str, Column]:
+    """Helper columns about the last ``size`` rows of ``x``, the first step towards a longer rolling window.
+
+    For every row Spark goes through all rows of a sliding frame again, which makes long frames dear. So a
+    window of n rows is put together from the blocks that end 0, ``size``, 2 * ``size``, ... rows
+    back: ``rolling_blocks``, then ``earlier_blocks`` and ``over_blocks``, each a stage of its own.
+    """
+    if agg is F.stddev_samp:
+        return {**rolling_blocks(F.sum, name, x, size, w), f"_{name}_squares_{size}": rolling(F.var_samp, x, size, w) * (size - 1)}
+    return {block: rolling(F.sum if agg is F.avg else agg, x, size, w) for block in _blocks(agg, name, size)}
+
+
+def earlier_blocks(agg: Callable, name: str, n: int, size: int, w: WindowSpec) -> dict[str, Column]:
+    """Helper columns with the earlier blocks of a window of ``n`` rows."""
+    if n % size:
+        raise ValueError(f"{n} rows are no whole number of blocks of {size}")
+    return {f"{block}_{back}_back": shift(F.col(block), back, w) for block in _blocks(agg, name, size) for back in range(size, n, size)}
+
+
+def over_blocks(agg: Callable, name: str, n: int, size: int) -> Column:
+    """``rolling`` over ``n`` rows from their blocks; ``agg`` is sum, avg, min, max or stddev_samp."""
+    first, *rest = ([F.col(block), *(F.col(f"{block}_{back}_back") for back in range(size, n, size))]
+                    for block in _blocks(agg, name, size))
+    if agg in (F.min, F.max):
+        # ``least`` and ``greatest`` would skip a missing block.
+        return F.when(reduce(and_, (block.isNotNull() for block in first)), (F.least if agg is F.min else F.greatest)(*first))
+    if agg is F.stddev_samp:
+        # Squares inside the blocks, and those of the blocks' means about the mean of all.
+        return F.sqrt((reduce(add, rest[0]) + _squares(first) / size) / (n - 1))
+    return reduce(add, first) if agg is F.sum else reduce(add, first) / n
+
+
+def _blocks(agg: Callable, name: str, size: int) -> list[str]:
+    kinds = {F.sum: ["sum"], F.avg: ["sum"], F.min: ["min"], F.max: ["max"], F.stddev_samp: ["sum", "squares"]}
+    return [f"_{name}_{kind}_{size}" for kind in kinds[agg]]
+
+
+def _squares(values: Sequence[Column]) -> Column:
+    """Sum of squared differences from the mean, taken from the first value so that large values lose no digits."""
+    moved = [v - values[0] for v in values[1:]]
+    total = reduce(add, moved)
+    return reduce(add, (d * d for d in moved)) - total * total / len(values)
+
+
 def shift(x: Column, n: int, w: WindowSpec) -> Column:
     """The value ``n`` rows earlier; a negative ``n`` looks ahead."""
     return F.lag(x, n).over(w) if n >= 0 else F.lead(x, -n).over(w)

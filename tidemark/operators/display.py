@@ -7,9 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.series import ema_memory, ema_parts, ema_value, gain, loss, rolling, shift
+from tidemark.functions.series import (
+    earlier_blocks, ema_memory, ema_parts, ema_value, gain, loss, over_blocks, rolling_blocks, shift,
+)
 from tidemark.operators.indicator import Indicator, Stage, add_indicators
-from tidemark.operators.technical import FAST, SIGNAL, SLOW
+from tidemark.operators.technical import BLOCK, FAST, SIGNAL, SLOW
 from tidemark.operators.windows import recent_days
 from tidemark.plans.series import Series, arrange, with_key_facts
 
@@ -52,7 +54,12 @@ macd_display = Indicator(
     ("MACD", "MACD_Signal"), ("close",), _macd_display,
     before=ema_memory(SLOW) + ema_memory(SIGNAL))
 simple_average = Indicator(
-    ("SMA_20",), ("close",), lambda s: [{"SMA_20": rolling(F.avg, _close(), 20, s.w)}], before=19)
+    ("SMA_20",), ("close",), lambda s: [
+        rolling_blocks(F.avg, "close", _close(), BLOCK, s.w),
+        {},
+        earlier_blocks(F.avg, "close", 20, BLOCK, s.w),
+        {"SMA_20": over_blocks(F.avg, "close", 20, BLOCK)},
+    ], before=19)
 
 CHART = (simple_average, rsi_wilder, macd_display)
 

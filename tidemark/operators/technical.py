@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.series import (
-    ema_memory, ema_parts, ema_value, finite, gain, loss, relative_change, rolling, shift, span_to_alpha,
+    earlier_blocks, ema_memory, ema_parts, ema_value, finite, gain, loss, over_blocks, relative_change, rolling,
+    rolling_blocks, shift, span_to_alpha,
 )
 from tidemark.operators.indicator import Indicator, Stage
 from tidemark.plans.scan import recursive_mean
@@ -18,6 +19,9 @@ EPSILON = 1e-9
 RETURN_PERIODS = (1, 3, 5, 10)
 FAST, SLOW, SIGNAL = (span_to_alpha(span) for span in (12, 26, 9))
 
+# Rows per block of the rolling windows of 14 rows, and of the others.
+HALF_14, BLOCK = 7, 5
+
 
 def _close() -> Column:
     return F.col("close")
@@ -32,8 +36,13 @@ def _earlier(name: str, periods: int, s: Series) -> Stage:
     return {f"_{name}_{periods}_back": shift(F.col(name), periods, s.w)}
 
 
-def _mean_of_close(s: Series, *sizes: int) -> Stage:
-    return {f"MA_{n}": rolling(F.avg, _close(), n, s.w) for n in sizes}
+def _mean_of_close(s: Series, *sizes: int) -> list[Stage]:
+    return [
+        rolling_blocks(F.avg, "close", _close(), BLOCK, s.w),
+        {},
+        earlier_blocks(F.avg, "close", max(sizes), BLOCK, s.w),
+        {f"MA_{n}": over_blocks(F.avg, "close", n, BLOCK) for n in sizes},
+    ]
 
 
 def _exponential_averages(s: Series) -> list[Stage]:
@@ -58,10 +67,15 @@ def _macd(s: Series) -> list[Stage]:
 
 
 def _rsi(s: Series) -> list[Stage]:
-    ups, downs = (rolling(F.avg, F.col(name), 14, s.w) for name in ("_gain", "_loss"))
+    ups, downs = (over_blocks(F.avg, name, 14, HALF_14) for name in ("gain", "loss"))
     return [
         _earlier("close", 1, s),
         {"_gain": gain(_one_day_delta()), "_loss": loss(_one_day_delta())},
+        {**rolling_blocks(F.avg, "gain", F.col("_gain"), HALF_14, s.w),
+         **rolling_blocks(F.avg, "loss", F.col("_loss"), HALF_14, s.w)},
+        {},
+        {},
+        {**earlier_blocks(F.avg, "gain", 14, HALF_14, s.w), **earlier_blocks(F.avg, "loss", 14, HALF_14, s.w)},
         {"RSI": 100 - 100 / (1 + _ratio(ups, downs))},
     ]
 
@@ -70,7 +84,10 @@ def _bollinger(s: Series) -> list[Stage]:
     middle, spread = F.col("MA_20"), F.col("BB_Std")
     upper, lower = middle + 2 * spread, middle - 2 * spread
     return [
-        {**_mean_of_close(s, 20), "BB_Std": rolling(F.stddev_samp, _close(), 20, s.w)},
+        rolling_blocks(F.stddev_samp, "close", _close(), BLOCK, s.w),
+        {},
+        earlier_blocks(F.stddev_samp, "close", 20, BLOCK, s.w),
+        {"MA_20": over_blocks(F.avg, "close", 20, BLOCK), "BB_Std": over_blocks(F.stddev_samp, "close", 20, BLOCK)},
         {
             "BB_Mid": middle,
             "BB_Upper": upper,
@@ -96,7 +113,11 @@ def _volatility(s: Series) -> list[Stage]:
     return [
         _earlier("close", 1, s),
         {"_move": finite(relative_change(_close(), F.col("_close_1_back")))},
-        {f"Vol_{n}": rolling(F.stddev_samp, F.col("_move"), n, s.w) for n in (10, 20)},
+        rolling_blocks(F.stddev_samp, "move", F.col("_move"), BLOCK, s.w),
+        {},
+        {},
+        earlier_blocks(F.stddev_samp, "move", 20, BLOCK, s.w),
+        {f"Vol_{n}": over_blocks(F.stddev_samp, "move", n, BLOCK) for n in (10, 20)},
     ]
 
 
@@ -110,14 +131,18 @@ def _atr(s: Series) -> list[Stage]:
     return [
         _earlier("close", 1, s),
         {"_true_range": _true_range()},
-        {"ATR_14": rolling(F.avg, F.col("_true_range"), 14, s.w)},
+        rolling_blocks(F.avg, "true_range", F.col("_true_range"), HALF_14, s.w),
+        {},
+        {},
+        earlier_blocks(F.avg, "true_range", 14, HALF_14, s.w),
+        {"ATR_14": over_blocks(F.avg, "true_range", 14, HALF_14)},
     ]
 
 
 def _price_ratios(s: Series) -> list[Stage]:
     short, middle, long = F.col("MA_10"), F.col("MA_20"), F.col("MA_50")
     return [
-        _mean_of_close(s, 10, 20, 50),
+        *_mean_of_close(s, 10, 20, 50),
         {
             "Price_vs_MA20": _ratio(_close() - middle, middle),
             "Price_vs_MA50": _ratio(_close() - long, long),
@@ -129,7 +154,10 @@ def _price_ratios(s: Series) -> list[Stage]:
 def _volume(s: Series) -> list[Stage]:
     volume = F.col("volume")
     return [
-        {"Volume_MA10": rolling(F.avg, volume, 10, s.w), **_earlier("volume", 1, s)},
+        {**rolling_blocks(F.avg, "volume", volume, BLOCK, s.w), **_earlier("volume", 1, s)},
+        {},
+        earlier_blocks(F.avg, "volume", 10, BLOCK, s.w),
+        {"Volume_MA10": over_blocks(F.avg, "volume", 10, BLOCK)},
         {
             "Volume_Ratio": _ratio(volume, F.col("Volume_MA10")),
             "Volume_Change": relative_change(volume, F.col("_volume_1_back")),
@@ -140,8 +168,11 @@ def _volume(s: Series) -> list[Stage]:
 def _stochastic(s: Series) -> list[Stage]:
     floor, ceiling = F.col("_low_14"), F.col("_high_14")
     return [
-        {"_low_14": rolling(F.min, F.col("low"), 14, s.w),
-         "_high_14": rolling(F.max, F.col("high"), 14, s.w)},
+        {**rolling_blocks(F.min, "low", F.col("low"), HALF_14, s.w),
+         **rolling_blocks(F.max, "high", F.col("high"), HALF_14, s.w)},
+        {},
+        {**earlier_blocks(F.min, "low", 14, HALF_14, s.w), **earlier_blocks(F.max, "high", 14, HALF_14, s.w)},
+        {"_low_14": over_blocks(F.min, "low", 14, HALF_14), "_high_14": over_blocks(F.max, "high", 14, HALF_14)},
         {"Stoch_K": _ratio(100 * (_close() - floor), ceiling - floor)},
         {"Stoch_D": rolling(F.avg, F.col("Stoch_K"), 3, s.w)},
     ]
@@ -157,7 +188,7 @@ def _candles(_: Series) -> list[Stage]:
 
 
 moving_averages = Indicator(
-    ("MA_10", "MA_20", "MA_50"), ("close",), lambda s: [_mean_of_close(s, 10, 20, 50)], before=49)
+    ("MA_10", "MA_20", "MA_50"), ("close",), lambda s: _mean_of_close(s, 10, 20, 50), before=49)
 exponential_averages = Indicator(
     ("EMA_12", "EMA_26"), ("close",), _exponential_averages, before=ema_memory(SLOW))
 macd = Indicator(
