@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.plans.staging import stored
+from tidemark.plans.staging import broadcast_if_small, shuffled, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,11 +25,12 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.union(edges.select(F.col("b"), F.col("a")))
         lowest = both.groupBy(F.col("a").alias("at")).agg(F.min("b").alias("other"))
         lowest = stored(lowest.select("at", F.least("at", "other").alias("to")), "lowest")
-        labels = stored(labels.join(lowest, "at", "left").select("id", F.coalesce("to", "at").alias("at")), "labels")
+        lowest = broadcast_if_small(lowest)
+        labels = stored(shuffled(labels).join(lowest, "at", "left").select("id", F.coalesce("to", "at").alias("at")), "labels")
         for c in ("a", "b"):
-            edges = edges.join(lowest.withColumnRenamed("at", c), c).drop(c).withColumnRenamed("to", c)
+            edges = shuffled(edges).join(lowest.withColumnRenamed("at", c), c).drop(c).withColumnRenamed("to", c)
         # The lower node first, so that a link met from both sides is one row.
         edges = edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         edges = stored(edges.distinct(), "links")
     smallest = labels.groupBy("at").agg(F.min("id").alias("component"))
-    return labels.join(smallest, "at").select("id", "component")
+    return shuffled(labels).join(smallest, "at").select("id", "component")

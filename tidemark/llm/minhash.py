@@ -22,14 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.components import components
-from tidemark.plans.staging import broadcast_if_small, stored
+from tidemark.plans.staging import broadcast_if_small, shuffled, stored
 
 # 32 bands of 4 values: a pair at similarity 0.75 misses every band with probability 5e-6.
 SLOTS, ROWS = 128, 4
 # Members that are compared at a time, and shingles that may lie in a block of them.
 BLOCK, BLOCK_SHINGLES = 1024, 2**21
 # Ids of wanted documents that are sent to every task; more of them meet the texts by a shuffle.
-SENT_IDS = 2_000_000
+SENT_IDS = 500_000
 # Elements whose permutations are in memory at a time.
 SLICE = 65_536
 # Standard deviations by which a signature must fall short before it rules a pair out.
@@ -180,12 +180,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     keyed = classes.select("id", "n", "signature", band).select("id", F.xxhash64(
         "band", F.expr(f"substring(signature, band * {2 * ROWS} + 1, {2 * ROWS})")).alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.count("id").alias("size")).where("size > 1")
-    members = stored(keyed.join(shared, "bucket").select("bucket", "id"), "members")
+    members = stored(shuffled(keyed).join(shared, "bucket").select("bucket", "id"), "members")
 
     def with_signatures(pairs: DataFrame) -> DataFrame:
         for side in ("a", "b"):
-            pairs = pairs.join(classes.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"),
-                                              F.col("signature").alias(f"s{side}")), side)
+            known = classes.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("signature").alias(f"s{side}"))
+            pairs = pairs.join(shuffled(known), side)
         return pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b", "sa", "sb")
 
     # Only where rows repeat an id can a set be met twice.
@@ -194,14 +194,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     def sets_of(ids: DataFrame) -> DataFrame:
         """id, digest, shingles of the documents named; texts are shuffled only if the ids are too many to be sent to them."""
         wanted = broadcast_if_small(stored(ids.distinct(), "wanted"), SENT_IDS)
-        sets = read.join(wanted, "id").mapInArrow(lambda rows: _sets(rows, words), "id long, digest binary, shingles array<long>")
+        sets = shuffled(read).join(wanted, "id").mapInArrow(lambda rows: _sets(rows, words), "id long, digest binary, shingles array<long>")
         return stored(sets.dropDuplicates(["id", "digest"]) if repeats else sets, "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar enough."""
         sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))
+        pairs = broadcast_if_small(pairs)
         for side in ("a", "b"):
-            pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("shingles").alias(f"s{side}")), side)
+            pairs = pairs.join(shuffled(sets.select(F.col("id").alias(side), F.col("shingles").alias(f"s{side}"))), side)
         both = F.size(F.array_intersect("sa", "sb"))
         enough = 100 * both >= percent * (F.size("sa") + F.size("sb") - both)
         return stored(pairs.where(enough).select("a", "b"), "links")
@@ -220,11 +221,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         links = more if links is None else links.union(more)
     else:
         open_members = _open(members, components(links))
-        may = stored(_across(open_members.join(classes.select("id", "n", "signature"), "id"), "bucket", percent, False), "may")
+        may = stored(_across(shuffled(open_members).join(classes.select("id", "n", "signature"), "id"), "bucket", percent, False), "may")
         # Components that may be linked, directly or through others, make up a cluster.
         clusters = components(may).select(F.col("id").alias("component"), F.col("component").alias("cluster"))
         inside = stored(open_members.select("id", "component").distinct().join(clusters, "component"), "inside")
-        full = inside.join(classes, "id").join(sets_of(inside.select("id")), ["id", "digest"])
+        full = shuffled(inside).join(classes, "id").join(shuffled(sets_of(inside.select("id"))), ["id", "digest"])
         links = links.union(stored(_across(full, "cluster", percent, True), "links"))
     found = components(links) if links is not None else None
     if found is None:
@@ -256,7 +257,7 @@ def _open(members: DataFrame, found: DataFrame | None) -> DataFrame:
         return members.select("bucket", "id", F.col("id").alias("component"))
     labelled = stored(members.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component")), "labelled")
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    return stored(labelled.join(mixed.select("bucket"), "bucket"), "open")
+    return stored(shuffled(labelled).join(mixed.select("bucket"), "bucket"), "open")
 
 
 def _with_centre(labelled: DataFrame, number: int) -> DataFrame:
@@ -267,7 +268,7 @@ def _with_centre(labelled: DataFrame, number: int) -> DataFrame:
     """
     drawn = F.min(F.struct(F.xxhash64(F.lit(number), "bucket", "id").alias("draw"), "id", "component")).alias("top")
     centres = labelled.groupBy("bucket").agg(drawn).select("bucket", F.col("top.id").alias("centre"), F.col("top.component").alias("main"))
-    paired = labelled.join(centres, "bucket").where("component != main")
+    paired = shuffled(labelled).join(centres, "bucket").where("component != main")
     return paired.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
 
 

@@ -115,3 +115,14 @@ def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
     most ``rows`` + 1 rows are counted.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` marked so that an equi-join shuffles both sides, unless the other one is marked for broadcast.
+
+    For tables whose size the plan would take from files: that of packed columns is a fraction of
+    what their rows take on the driver, and the estimate leaves out how many rows an explode makes of
+    one, and how long lists and binaries are. A table estimated below the session's threshold is sent
+    before adaptive execution has measured anything.
+    """
+    return df.hint("merge")
