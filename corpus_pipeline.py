@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, langid, line_templates, minhash, mixing
-from tidemark.plans.staging import stored
+from tidemark.plans.staging import broadcast_if_small, shuffled, stored
 
 
 # What tells rows apart: the id and the text, as one number.
@@ -67,11 +67,11 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     found = minhash.near_duplicates(rows, key="row").select(F.col("id").alias("row"), F.col("component_id").alias("component")).distinct()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row"))["row"].alias("row")
     kept = found.join(rows.select("row", "doc_id").distinct(), "row").groupBy("component").agg(first)
-    left = rows.join(stored(kept.select("row"), "kept"), "row", "left_semi")
+    left = shuffled(rows).join(broadcast_if_small(stored(kept.select("row"), "kept")), "row", "left_semi")
     several = left.groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    several = stored(several.select("row"), "several")
-    once = left.join(several, "row", "left_anti").select(*docs.columns)
-    return once.unionByName(left.join(several, "row", "left_semi").dropDuplicates(["row"]).select(*docs.columns))
+    several = broadcast_if_small(stored(several.select("row"), "several"))
+    once = shuffled(left).join(several, "row", "left_anti").select(*docs.columns)
+    return once.unionByName(shuffled(left).join(several, "row", "left_semi").dropDuplicates(["row"]).select(*docs.columns))
 
 
 def _places(docs: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     decoded = bpe.decode(bpe.encode(rows, ranks, public_tokenizers.PATTERN, key="row"), ranks)
     encoded = decoded.select(F.col("id").alias("row"), F.size("ids").cast("long").alias("n_tokens"), "ids",
                              F.sha2("decoded", 256).alias("decoded_sha256"))
-    return places.join(encoded, "row").select("doc_id", "n_tokens", "ids", "decoded_sha256", "mix_slot", "mix_place")
+    return broadcast_if_small(places).join(shuffled(encoded), "row").select("doc_id", "n_tokens", "ids", "decoded_sha256", "mix_slot", "mix_place")
 
 
 STAGES = [

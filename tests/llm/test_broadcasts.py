@@ -6,7 +6,8 @@ import pytest
 from helpers import documents
 from test_minhash import brute_force
 
-from tidemark.llm import components, minhash
+import corpus_pipeline
+from tidemark.llm import components, line_templates, minhash
 from tidemark.plans import staging
 
 WORDS = [f"w{i}" for i in range(300)]
@@ -35,7 +36,8 @@ def unmeasured(df):
     """Broadcasts of the plan, as it stands before anything ran, that read files without a shuffle between."""
     found = names(df._jdf.queryExecution().executedPlan())
     sent = [name for name in found if name.endswith("/BroadcastExchangeExec")]
-    return [name for name in sent if not any(x.startswith(f"{name}/") and x.endswith("/ShuffleExchangeExec") for x in found)]
+    below = {name: {x.rpartition("/")[2] for x in found if x.startswith(f"{name}/")} for name in sent}
+    return [name for name in sent if "FileSourceScanExec" in below[name] and "ShuffleExchangeExec" not in below[name]]
 
 
 @pytest.fixture
@@ -61,3 +63,30 @@ def test_near_duplicates_sends_nothing_unmeasured(spark, checked):
     found = minhash.near_duplicates(docs)
     assert unmeasured(found) == []
     assert sorted(map(tuple, found.collect()), key=repr) == brute_force(rows)
+
+
+def test_recurring_lines_send_nothing_unmeasured(spark, checked):
+    kinds = ("red", "green", "blue", "grey", "pink", "white")
+    rows = [(i, f"own line {kind} of this one text alone {kind}\nRead all about it here in {kind} today") for i, kind in enumerate(kinds)]
+    docs = staging.stored(documents(spark, rows, extra=False))
+    checked(line_templates)
+    found = line_templates.drop_recurring(docs)
+    assert unmeasured(found) == []
+    assert sorted((r["doc_id"], r["text"]) for r in found.collect()) == [(i, text.split("\n")[0]) for i, text in rows]
+
+
+def test_pipeline_stages_send_nothing_unmeasured(spark, checked, monkeypatch):
+    rows = [(1, "one two"), (2, "one two three"), (2, "one two three"), (3, "four"), (None, "four")]
+    docs = staging.stored(documents(spark, rows, extra=False))
+
+    def paired(docs, key):
+        return docs.selectExpr(f"{key} AS id", "xxhash64(substring(text, 1, 3)) AS component_id")
+
+    monkeypatch.setattr(minhash, "near_duplicates", paired)
+    checked(corpus_pipeline)
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, "")
+    assert unmeasured(kept) == []
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, "one two"), (3, "four")]
+    encoded = corpus_pipeline.encode_tokens(spark, docs, "")
+    assert unmeasured(encoded.select("doc_id", "ids")) == []
+    assert encoded.count() == len(rows)

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.plans.staging import stored
+from tidemark.plans.staging import broadcast_if_small, shuffled, stored
 
 # Leading tokens that the tree branches by, and documents that make a template recurring.
 DEPTH, MIN_DOCS = 3, 5
@@ -54,7 +54,7 @@ def _belonging(varied: DataFrame) -> DataFrame:
     common = counts.groupBy("leaf", "at").agg(F.min(F.struct(-F.col("n"), F.col("token").alias("token"))).alias("top"))
     shape = common.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("at", "top.token")))["token"].alias("shape"))
     agreed = F.aggregate(F.zip_with("tokens", "shape", lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, x: s + x)
-    return rest.join(shape, "leaf").where(2 * agreed >= F.size("tokens")).select(
+    return shuffled(rest).join(shape, "leaf").where(2 * agreed >= F.size("tokens")).select(
         F.xxhash64("masked").alias("line"), F.lit(True).alias("belongs"))
 
 
@@ -74,13 +74,13 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     # A template lies in one leaf, so only leaves of enough documents can hold a recurring one.
     full = stored(lines.select("leaf", "row").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).where(
         F.col("docs") >= min_docs).select("leaf"), "leaves")
-    near = stored(lines.join(full, "leaf"), "near")
+    near = stored(shuffled(lines).join(broadcast_if_small(full), "leaf"), "near")
     several = near.groupBy("leaf").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low != high")
     several = stored(several.select("leaf"), "several")
-    varied = _lines(read).join(several, "leaf").select("leaf", "masked").distinct()
+    varied = shuffled(_lines(read)).join(broadcast_if_small(several), "leaf").select("leaf", "masked").distinct()
     belonging = stored(_belonging(stored(varied, "varied")), "belonging")
     template = F.when(F.col("belongs"), F.xxhash64(F.lit("leaf"), "leaf")).otherwise(F.xxhash64(F.lit("line"), "line"))
-    placed = near.join(belonging, "line", "left").select("row", "place", template.alias("template"))
+    placed = shuffled(near).join(broadcast_if_small(belonging), "line", "left").select("row", "place", template.alias("template"))
     recurring = placed.distinct().select("template", "row").distinct().groupBy("template").agg(
         F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select("template")
     drops = placed.join(recurring, "template").groupBy(F.col("row").alias("of")).agg(F.collect_set("place").alias("drops"))
